@@ -25,6 +25,7 @@ def local_session(app: str, cpus: int | str = "*", **extra: str) -> SparkSession
         **RECOMMENDED,
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.host": "127.0.0.1",
         "spark.driver.bindAddress": "127.0.0.1",
         "spark.driver.memory": "8g",
