@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import clean, formats, regions
+from ..session import checkpointed
 from .joins import left_dim_unknown
 from .quantile import weighted_percentile
 from .scope import Day, distinct_companies, in_range, prepare_fact
@@ -113,7 +114,8 @@ def winsorized_capital(
     fact: DataFrame, empresas: DataFrame, start: Day, end: Day, q: str = "0.90"
 ) -> DataFrame:
     """``uf, n, p90, avg_cap_w``: mean capital per state with values above the percentile cut to it."""
-    hist = capital_histogram(fact, empresas, start, end)
+    # read once per digit of the percentile and once to average: joined once, then stored
+    hist = checkpointed(capital_histogram(fact, empresas, start, end))
     cut = weighted_percentile(hist, "uf", "cap", "times", q)
     cap = F.least(F.col("cap").cast("double"), F.col("p"))
     return (

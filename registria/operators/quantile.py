@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BASE = 10_000_000
-DIGITS = ["_d1", "_d2", "_d3"]
 
 
 def _digits(value: Column) -> list[Column]:
@@ -25,40 +24,44 @@ def weighted_percentile(hist: DataFrame, group: str, value: str, weight: str, q:
     """``(group, rows, p)``: the ``q`` percentile with linear interpolation.
 
     ``hist`` holds one row per distinct ``(group, value)`` with the number of
-    times it occurs; ``q`` is a decimal such as ``"0.90"``.
+    times it occurs; ``q`` is a decimal such as ``"0.90"``. ``hist`` is read once
+    per digit, so pass one that is cheap to read again (stored or checkpointed).
     """
     d1, d2, d3 = _digits(F.col(value))
-    rows = hist.select(
+    counts = hist.select(
         F.col(group), F.col(weight).alias("_w"), d1.alias("_d1"), d2.alias("_d2"), d3.alias("_d3")
     )
     position = (F.col("rows") - 1) * F.lit(q).cast("decimal(5,4)")
-    targets = (
-        rows.groupBy(group).agg(F.sum("_w").alias("rows"))
-        .withColumn("_at", F.explode(F.array(F.lit("lo"), F.lit("hi"))))
-        .withColumn("_r", F.when(F.col("_at") == "lo", F.floor(position)).otherwise(F.ceil(position)).cast("bigint"))
-    )
-    for level, digit in enumerate(DIGITS):
-        known = [group, *DIGITS[:level]]
-        if level:  # only rows that share the digits found so far
-            wanted = ["_at", *known]
-            left = rows.join(targets.select(*wanted), known)
-        else:
-            wanted, left = known, rows
-        counted = left.groupBy(*wanted, digit).agg(F.sum("_w").alias("_n"))
-        upto = F.sum("_n").over(Window.partitionBy(*wanted).orderBy(digit))
-        targets = (
-            targets.join(counted.withColumn("_upto", upto), wanted)
-            .where((F.col("_r") < F.col("_upto")) & (F.col("_r") >= F.col("_upto") - F.col("_n")))
-            .withColumn("_r", F.col("_r") - (F.col("_upto") - F.col("_n")))
-            .drop("_upto", "_n")
+    wanted = F.explode(F.array(
+        F.struct(F.lit("lo").alias("at"), F.floor(position).cast("bigint").alias("rank")),
+        F.struct(F.lit("hi").alias("at"), F.ceil(position).cast("bigint").alias("rank")),
+    ))
+
+    def holding_rank(counted: DataFrame, upto: Column) -> DataFrame:
+        """The digit whose rows include the rank, and the rank among those rows."""
+        before = F.col("_upto") - F.col("_n")
+        return (
+            counted.withColumn("_upto", upto)
+            .where((F.col("_rank") >= before) & (F.col("_rank") < F.col("_upto")))
+            .withColumn("_rank", F.col("_rank") - before).drop("_upto", "_n")
         )
-    cents = (
-        (F.col("_d1").cast("decimal(20,0)") * BASE + F.col("_d2")) * BASE + F.col("_d3")
-    ).cast("decimal(20,0)")
-    found = (cents / 100).cast("double")
+
+    top = counts.groupBy(group, "_d1").agg(F.sum("_w").alias("_n"))
+    top = top.withColumn("rows", F.sum("_n").over(Window.partitionBy(group))).withColumn("_want", wanted)
+    top = top.select(group, "_d1", "_n", "rows", F.col("_want.at").alias("_at"), F.col("_want.rank").alias("_rank"))
+    found = holding_rank(top, F.sum("_n").over(Window.partitionBy(group, "_at").orderBy("_d1")))
+    for known, digit in ((["_d1"], "_d2"), (["_d1", "_d2"], "_d3")):
+        below = (
+            counts.join(found, [group, *known])
+            .groupBy(group, "rows", "_at", "_rank", *known, digit).agg(F.sum("_w").alias("_n"))
+        )
+        found = holding_rank(below, F.sum("_n").over(Window.partitionBy(group, "_at").orderBy(digit)))
+
+    cents = (F.col("_d1").cast("decimal(20,0)") * BASE + F.col("_d2")) * BASE + F.col("_d3")
+    amount = (cents.cast("decimal(20,0)") / 100).cast("double")
     fraction = (position - F.floor(position)).cast("double")
-    low, high = (F.max(F.when(F.col("_at") == at, found)) for at in ("lo", "hi"))
+    low, high = (F.max(F.when(F.col("_at") == at, amount)) for at in ("lo", "hi"))
     return (
-        targets.groupBy(group, "rows").agg(low.alias("_low"), high.alias("_high"))
+        found.groupBy(group, "rows").agg(low.alias("_low"), high.alias("_high"))
         .select(group, "rows", (F.col("_low") + (F.col("_high") - F.col("_low")) * fraction).alias("p"))
     )
