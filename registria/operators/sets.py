@@ -13,8 +13,11 @@ def union_parts(*parts: DataFrame) -> DataFrame:
 
 
 def added(after: DataFrame, before: DataFrame) -> DataFrame:
-    """Distinct rows of ``after`` that ``before`` lacks."""
-    return after.subtract(before)
+    """Distinct rows of ``after`` that ``before`` lacks.
+
+    Both sides are made distinct first; ``subtract`` alone would shuffle every copy.
+    """
+    return after.distinct().subtract(before.distinct())
 
 
 def first_of_each(df: DataFrame, key: str, position: str) -> DataFrame:

@@ -65,14 +65,19 @@ def load(
             profiles[row["layout"]].append((row["path"], row["encoding"]))
 
     tables, rejected, counts, errors = {}, {}, {}, {}
+    unterminated: set[str] = set()
     for layout, known in profiles.items():
         path = f"{staging.rstrip('/')}/{layout}"
         try:
-            breaks = delimited.quoted_breaks(spark, [p for p, _ in known]).collect()
-            multiline = {_plain(r["path"]): r["multiline"] for r in breaks}
-            stored = stage_layout(
-                spark, layout, [(p, e, multiline.get(_plain(p), False)) for p, e in known], path
-            )
+            balance = {_plain(r["path"]): r for r in delimited.quote_balance(spark, [p for p, _ in known]).collect()}
+            unterminated |= {p for p, r in balance.items() if r["unterminated"]}
+            usable = [
+                (p, e, _plain(p) in balance and balance[_plain(p)]["multiline"])
+                for p, e in known if _plain(p) not in unterminated
+            ]
+            if not usable:
+                continue
+            stored = stage_layout(spark, layout, usable, path)
             per_file = stored.groupBy(delimited.SOURCE).agg(
                 F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("sound")).alias("rejected")
             )
@@ -89,13 +94,16 @@ def load(
     report = []
     for row in listed:
         rows, bad = counts.get(_plain(row["path"]), (0, 0))
+        error = errors.get(row["layout"])
         if row["layout"] not in layouts.TABLES:
             status = "ok" if allow_unknown else "unknown layout"
-        elif row["layout"] in errors:
+        elif error:
             status = "failed"
+        elif _plain(row["path"]) in unterminated:
+            status, error = "failed", "a quoted value never ends"
         else:
             status = "rejected rows" if strict and bad else "ok"
-        report.append((row["name"], row["layout"], rows - bad, bad, status, errors.get(row["layout"])))
+        report.append((row["name"], row["layout"], rows - bad, bad, status, error))
     ok = bool(report) and all(r[4] == "ok" for r in report)
     return Staged(tables, rejected, spark.createDataFrame(report, REPORT), ok)
 

@@ -29,11 +29,13 @@ def curated(layout: str, df: DataFrame) -> DataFrame:
 def clustered(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """The fact ordered by start date over the whole table, so a date range reads few row groups.
 
-    Company and order number break up a date that holds many rows.
+    Ties are cut by company, order number and at last the row's place in the
+    input, so neither a full date nor a row with many copies makes a large task.
     """
-    keys = ["data_inicio_atividades", "cnpj_basico", "cnpj_ordem"]
-    placed = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    return placed.sortWithinPartitions(*keys)
+    keys = ["data_inicio_atividades", "cnpj_basico", "cnpj_ordem", "_place"]
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    placed = placed.repartitionByRange(partitions, *keys) if partitions else placed.repartitionByRange(*keys)
+    return placed.sortWithinPartitions(*keys).drop("_place")
 
 
 def swap_table(spark: SparkSession, database: str, name: str, path: str) -> None:

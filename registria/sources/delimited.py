@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.clean import strip_nul
 from .files import resolve, spread
@@ -51,33 +51,98 @@ def encodings(files: DataFrame) -> DataFrame:
     return spread(files.select("path")).mapInPandas(_probe, "path string, encoding string")
 
 
-def quoted_breaks(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``path, multiline``: whether a quoted value of the file spans lines.
+def _odd_quotes(text: str) -> Column:
+    """1 if a line opens or closes a quoted value without doing both, else 0."""
+    return (F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))) % 2
 
-    A line with an odd number of quotes opens or closes such a value. Plain
-    split text, so a large file is scanned by many tasks; only files that need
-    it are later read whole.
+
+def quote_balance(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path, multiline, unterminated``: whether quoted values of a file span lines, or never end.
+
+    Plain text lines, so many tasks scan one large file.
     """
-    odd = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
     return (
-        spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), odd.alias("odd"))
-        .groupBy("path").agg(F.max("odd").alias("multiline"))
+        spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), _odd_quotes("value").alias("odd"))
+        .groupBy("path").agg(
+            (F.max("odd") == 1).alias("multiline"), (F.sum("odd") % 2 == 1).alias("unterminated")
+        )
+    )
+
+
+def _options() -> dict[str, str]:
+    return {
+        "sep": ";", "quote": '"', "escape": '"', "header": "false", "mode": "PERMISSIVE",
+        "emptyValue": QUOTED_BLANK, "columnNameOfCorruptRecord": CORRUPT, "maxCharsPerColumn": "-1",
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    }
+
+
+def _schema(layout: str) -> T.StructType:
+    return T.StructType([*text_schema(layout).fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def _charset(encoding: str) -> str:
+    return "ISO-8859-1" if encoding == "latin-1" else "UTF-8"
+
+
+def _read_lines(spark: SparkSession, layout: str, paths: list[str], encoding: str) -> DataFrame:
+    """Files whose records are lines: Spark splits them at will."""
+    reader = spark.read.schema(_schema(layout)).options(**_options(), encoding=_charset(encoding))
+    return reader.csv(paths).select("*", F.col("_metadata.file_path").alias(SOURCE))
+
+
+def _read_broken(spark: SparkSession, layout: str, paths: list[str], encoding: str) -> DataFrame:
+    """Files with line breaks inside quoted values, read by block like any other.
+
+    Spark's own multi-line reader gives a file to one task. Here each block's
+    lines are read apart, and the number of odd lines before a block tells
+    whether it begins inside a quoted value. A line that is a record by itself
+    passes through; only the lines of a broken record are brought together.
+    """
+    line, block = [SOURCE, "_block"], Window.partitionBy(SOURCE, "_block").orderBy("_pos")
+    before = block.rowsBetween(Window.unboundedPreceding, -1)
+    earlier_blocks = Window.partitionBy(SOURCE).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    lines = spark.read.text(paths, lineSep="\n").select(
+        F.col("_metadata.file_path").alias(SOURCE), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_pos"), "value", _odd_quotes("value").alias("_odd"),
     )
+    opening = (
+        lines.groupBy(*line).agg(F.sum("_odd").alias("_flips"))
+        .select(*line, (F.coalesce(F.sum("_flips").over(earlier_blocks), F.lit(0)) % 2).alias("_open"))
+    )
+    inside = (F.col("_open") + F.coalesce(F.sum("_odd").over(before), F.lit(0))) % 2
+    placed = (
+        lines.join(opening, line)
+        .withColumn("_starts", F.when(inside == 0, 1).otherwise(0))
+        .withColumn("_record", F.sum("_starts").over(block))
+    )
+    alone = (F.col("_starts") == 1) & (F.col("_odd") == 0)
+    # a block that begins inside a record continues the last one begun before it
+    last = F.when(F.col("_record") > 0, F.struct("_block", "_record"))
+    owners = (
+        placed.groupBy(*line).agg(F.max("_record").alias("_record"))
+        .select(*line, F.last(last, ignorenulls=True).over(earlier_blocks).alias("_owner"))
+    )
+    begun = F.when(F.col("_record") > 0, F.struct("_block", "_record")).otherwise(F.col("_owner"))
+    parts = F.sort_array(F.collect_list(F.struct("_block", "_pos", "value")))
+    joined = (
+        placed.where(~alone).join(owners, line).groupBy(SOURCE, begun.alias("_begun"))
+        .agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("value"))
+    )
+    records = placed.where(alone).select(SOURCE, "value").unionByName(joined.select(SOURCE, "value"))
+    text = F.col("value")
+    if encoding == "latin-1":
+        text = F.decode(text.cast("binary"), _charset(encoding))
+    parsed = F.from_csv(F.regexp_replace(text, r"\r$", ""), F.lit(_schema(layout).toDDL()), _options())
+    return records.where(F.col("value") != "").select(parsed.alias("r"), SOURCE).select("r.*", SOURCE)
 
 
 def read_alike(spark: SparkSession, layout: str, paths: list[str], encoding: str, multiline: bool) -> DataFrame:
     """Files of one layout, encoding and line rule as text columns, plus source and malformed text."""
-    schema = T.StructType([*text_schema(layout).fields, T.StructField(CORRUPT, T.StringType())])
-    raw = spark.read.schema(schema).csv(
-        paths, sep=";", quote='"', escape='"', header=False, multiLine=multiline, mode="PERMISSIVE",
-        encoding="ISO-8859-1" if encoding == "latin-1" else "UTF-8",
-        emptyValue=QUOTED_BLANK, columnNameOfCorruptRecord=CORRUPT,
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, maxCharsPerColumn=-1,
-    )
+    raw = (_read_broken if multiline else _read_lines)(spark, layout, paths, encoding)
     dates = DATE_COLUMNS.get(layout, [])
     return raw.select(
-        *[_value(name, name in dates).alias(name) for name in LAYOUTS[layout]],
-        CORRUPT, F.col("_metadata.file_path").alias(SOURCE),
+        *[_value(name, name in dates).alias(name) for name in LAYOUTS[layout]], CORRUPT, SOURCE
     )
 
 

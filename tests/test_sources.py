@@ -1,5 +1,6 @@
 """Files as the registry delivers them, written into a fresh folder."""
 
+import random
 import zipfile
 from datetime import date
 
@@ -78,13 +79,51 @@ def test_blank_dates_are_null(spark, tmp_path):
 def test_breaks_and_nuls(spark, tmp_path):
     broken = write(tmp_path, "b.csv", estab("1", name="two\nlines") + estab("2", name="nul\x00"))
     plain = write(tmp_path, "p.csv", estab("3"))
-    found = {r["path"].rsplit("/", 1)[1]: r["multiline"] for r in delimited.quoted_breaks(spark, [str(broken), str(plain)]).collect()}
+    found = {r["path"].rsplit("/", 1)[1]: r["multiline"] for r in delimited.quote_balance(spark, [str(broken), str(plain)]).collect()}
     assert found == {"b.csv": True, "p.csv": False}
     profile = [(str(broken), "utf-8", True), (str(plain), "utf-8", False)]
     names = sorted(r["nome_fantasia"] for r in delimited.read_files(spark, "estabelecimento", profile).collect())
     assert names == ["N", "nul", "two\nlines"]
 
 
+@pytest.fixture
+def tiny_blocks(spark):
+    """Reads files in blocks of a few hundred bytes."""
+    small = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in old.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "latin-1"])
+def test_broken_records_over_many_blocks(spark, tmp_path, tiny_blocks, encoding):
+    rng = random.Random(11)
+    want, texts = [], ["", ""]
+    for i in range(400):
+        name = rng.choice(["plain", 'q"uote', "two\nlines", "a\n\nb;c", "ÃO\r\nx", '"\n"', "long\n" * rng.randrange(1, 120), ""])
+        want.append((f"{i:08}", name, None if i % 2 else ""))
+        last = "" if i % 2 else '""'
+        texts[i % 2] += f'"{i:08}";"{name.replace(chr(34), chr(34) * 2)}";"2062";"49";"1,00";"01";{last}\n'
+    paths = [str(write(tmp_path, f"empre{n}.csv", t, encoding)) for n, t in enumerate(texts)]
+    assert all(r["multiline"] and not r["unterminated"] for r in delimited.quote_balance(spark, paths).collect())
+    got = delimited.read_files(spark, "empresas", [(p, encoding, True) for p in paths]).collect()
+    assert sorted((r["cnpj_basico"], r["razao_social"], r["ente_federativo_responsavel"]) for r in got) == want
+    assert all(r[delimited.CORRUPT] is None for r in got)
+
+
+def test_unterminated_file_fails_alone(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    write(folder, "motivo1.csv", '"01";"ok"\n')
+    write(folder, "motivo2.csv", '"02";"never closed\n"03";"x"\n')
+    staged = ingest.load(spark, str(folder), str(tmp_path / "staging"))
+    assert not staged.ok and staged.tables["motivo"].count() == 1
+    assert [r["status"] for r in staged.report.collect()] == ["ok", "failed"]
+
+
 def make_zips(folder):
     folder.mkdir(exist_ok=True)
     with zipfile.ZipFile(folder / "Empresas0.zip", "w", zipfile.ZIP_DEFLATED) as z:

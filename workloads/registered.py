@@ -240,10 +240,11 @@ from estabelecimento f join (select cnpj_basico, min(natureza_juridica) as natur
   using (cnpj_basico) group by 1, 2""")
 def _(t):
     one = t.emp.groupBy("cnpj_basico").agg(F.min("natureza_juridica").alias("natureza_juridica"))
+    blank = clean.is_blank("municipio").cast("int").alias("blank_city")
+    per_company = t.fact.groupBy("cnpj_basico", blank).agg(state_reports.rows())
     return (
-        t.fact.join(one, "cnpj_basico")
-        .groupBy(clean.or_missing("natureza_juridica").alias("nature"), clean.is_blank("municipio").cast("int").alias("blank_city"))
-        .agg(state_reports.rows())
+        per_company.join(one, "cnpj_basico")
+        .groupBy(clean.or_missing("natureza_juridica").alias("nature"), "blank_city").agg(F.sum("qty").alias("qty"))
     )
 
 
