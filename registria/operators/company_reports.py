@@ -16,7 +16,8 @@ from ..session import checkpointed
 from .joins import left_dim_unknown
 from .quantile import weighted_percentile
 from .scope import Day, distinct_companies, in_range, prepare_fact
-from .state_reports import count_if, region_active_rate, rows
+from .sets import union_parts
+from .state_reports import count_if, region_rate, rows
 
 KEY = "cnpj_basico"
 
@@ -76,36 +77,42 @@ def enterprise_profile(
     )
 
 
+def presence(fact: DataFrame, start: Day, end: Day) -> DataFrame:
+    """``uf, cnpj_basico, establishments, actives`` per state and company."""
+    return (
+        in_range(prepare_fact(fact), start, end).groupBy(F.col("uf_norm").alias("uf"), KEY)
+        .agg(rows("establishments"), count_if(clean.is_active("status2"), "actives"))
+    )
+
+
 def region_mei_density(fact: DataFrame, simples: DataFrame | None, start: Day, end: Day) -> DataFrame:
     """``region, mei, total, mei_pct`` over distinct (state, company) pairs."""
-    pairs = in_range(prepare_fact(fact), start, end).select("uf_norm", KEY).distinct()
+    pairs = in_range(prepare_fact(fact), start, end).select(F.col("uf_norm").alias("uf"), KEY).distinct()
+    return _mei_density(pairs, simples)
+
+
+def _mei_density(pairs: DataFrame, simples: DataFrame | None) -> DataFrame:
     if simples is None:
         pairs = pairs.withColumns({"regime_rows": F.lit(1), "regime_mei": F.lit(0)})
     else:
         pairs = pairs.join(_regime(simples), KEY, "left")
-    by_state = pairs.groupBy("uf_norm").agg(
+    by_state = pairs.groupBy("uf").agg(
         F.sum(_or("regime_mei", 0)).alias("mei"), F.sum(_or("regime_rows", 1)).alias("total")
     )
-    return (
-        by_state.groupBy(regions.region_of("uf_norm").alias("region"))
-        .agg(F.sum("mei").alias("mei"), F.sum("total").alias("total"))
-        .where(F.col("region").isNotNull())
-        .withColumn("mei_pct", formats.percent("mei", "total"))
-    )
+    return region_rate(by_state, "mei", "total", "mei_pct")
 
 
-def capital_histogram(fact: DataFrame, empresas: DataFrame, start: Day, end: Day) -> DataFrame:
-    """``uf, cap, times``: capital of the company of each establishment, equal values counted."""
+def capital_histogram(held: DataFrame, empresas: DataFrame) -> DataFrame:
+    """``uf, cap, times``: capital of the company of each establishment, equal values counted.
+
+    ``held`` has ``uf, cnpj_basico, establishments``.
+    """
     master = (
         empresas.select(KEY, clean.parse_capital("capital_social").alias("cap"))
         .where(F.col("cap").isNotNull()).groupBy(KEY, "cap").agg(rows("copies"))
     )
-    held = (
-        in_range(prepare_fact(fact), start, end).where(F.col("uf_norm").isNotNull())
-        .groupBy(KEY, F.col("uf_norm").alias("uf")).agg(rows("establishments"))
-    )
     return (
-        held.join(master, KEY).groupBy("uf", "cap")
+        held.where(F.col("uf").isNotNull()).join(master, KEY).groupBy("uf", "cap")
         .agg(F.sum(F.col("establishments") * F.col("copies")).alias("times"))
     )
 
@@ -114,8 +121,11 @@ def winsorized_capital(
     fact: DataFrame, empresas: DataFrame, start: Day, end: Day, q: str = "0.90"
 ) -> DataFrame:
     """``uf, n, p90, avg_cap_w``: mean capital per state with values above the percentile cut to it."""
-    # read once per digit of the percentile and once to average: joined once, then stored
-    hist = checkpointed(capital_histogram(fact, empresas, start, end))
+    return _winsorized(capital_histogram(presence(fact, start, end), empresas), q)
+
+
+def _winsorized(hist: DataFrame, q: str) -> DataFrame:
+    hist = checkpointed(hist)  # read once per digit of the percentile and once to average
     cut = weighted_percentile(hist, "uf", "cap", "times", q)
     cap = F.least(F.col("cap").cast("double"), F.col("p"))
     return (
@@ -137,23 +147,27 @@ def region_gap(
     fact: DataFrame, empresas: DataFrame | None, simples: DataFrame | None, start: Day, end: Day,
     first: str = "N", second: str = "SE",
 ) -> DataFrame:
-    """``metric, first_value, second_value, gap`` for active rate, MEI density and mean capital."""
+    """``metric, first_value, second_value, gap`` for active rate, MEI density and mean capital.
+
+    A metric whose table is missing is 0. The fact is read once: all three start
+    from the stored (state, company) counts.
+    """
+    held = checkpointed(presence(fact, start, end))
+    active = region_rate(held, "actives", "establishments", "active_pct")
+    metrics = {"active_rate": (active, "active_pct"), "mei_density": (_mei_density(held, simples), "mei_pct")}
+    if empresas is not None:
+        capital = region_capital(_winsorized(capital_histogram(held, empresas), "0.90"))
+        metrics["avg_capital"] = (capital, "avg_cap")
+    else:
+        metrics["avg_capital"] = (active.where(F.lit(False)), "active_pct")
 
-    def compare(df: DataFrame | None, column: str, metric: str) -> DataFrame:
-        if df is None:
-            df = fact.sparkSession.createDataFrame([], f"region string, {column} double")
+    def compare(metric: str) -> DataFrame:
+        by_region, column = metrics[metric]
         side = [
-            F.coalesce(F.max(F.when(F.col("region") == r, F.col(column))), F.lit(0.0)).alias(name)
-            for r, name in ((first, "first_value"), (second, "second_value"))
+            F.coalesce(F.max(F.when(F.col("region") == region, F.col(column))), F.lit(0.0)).alias(name)
+            for region, name in ((first, "first_value"), (second, "second_value"))
         ]
-        return df.agg(*side).select(F.lit(metric).alias("metric"), "first_value", "second_value")
+        values = by_region.agg(*side).select(F.lit(metric).alias("metric"), "first_value", "second_value")
+        return values.withColumn("gap", F.col("first_value") - F.col("second_value"))
 
-    capital = None
-    if empresas is not None:
-        capital = region_capital(winsorized_capital(fact, empresas, start, end))
-    rows_ = (
-        compare(region_active_rate(fact, start, end), "active_pct", "active_rate")
-        .unionByName(compare(region_mei_density(fact, simples, start, end), "mei_pct", "mei_density"))
-        .unionByName(compare(capital, "avg_cap", "avg_capital"))
-    )
-    return rows_.withColumn("gap", F.col("first_value") - F.col("second_value"))
+    return union_parts(*[compare(metric) for metric in metrics])

@@ -16,11 +16,15 @@ def left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
     AQE can split a skewed partition on either side of an inner join but only on
     the kept side of an outer one. So the matches come from an inner join and the
-    rest from an anti join against the distinct keys, which have no hot key.
+    rest from an anti join against the distinct keys, which have no hot key. Rows
+    without a key match nothing and go around both, so that both joins read one
+    shuffle of ``left``.
     """
-    matched = left.join(right, key)
-    unmatched = left.join(right.select(key).distinct(), key, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    keyed = left.where(F.col(key).isNotNull())
+    matched = keyed.join(right, key)
+    unmatched = keyed.join(right.select(key).distinct(), key, "left_anti")
+    alone = unmatched.unionByName(left.where(F.col(key).isNull()))
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def anti_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -85,14 +85,19 @@ def active_rate(fact: DataFrame, start: Day, end: Day) -> DataFrame:
 def region_active_rate(fact: DataFrame, start: Day, end: Day) -> DataFrame:
     """``region, actives, total, active_pct`` over states with a region."""
     by_state = (
-        in_range(prepare_fact(fact), start, end).groupBy("uf_norm")
+        in_range(prepare_fact(fact), start, end).groupBy(F.col("uf_norm").alias("uf"))
         .agg(count_if(clean.is_active("status2"), "actives"), rows("total"))
     )
+    return region_rate(by_state, "actives", "total", "active_pct")
+
+
+def region_rate(by_state: DataFrame, part: str, whole: str, name: str) -> DataFrame:
+    """State sums added up per region, with their ratio in percent."""
     return (
-        by_state.groupBy(regions.region_of("uf_norm").alias("region"))
-        .agg(F.sum("actives").alias("actives"), F.sum("total").alias("total"))
+        by_state.groupBy(regions.region_of("uf").alias("region"))
+        .agg(F.sum(part).alias(part), F.sum(whole).alias(whole))
         .where(F.col("region").isNotNull())
-        .withColumn("active_pct", formats.percent("actives", "total"))
+        .withColumn(name, formats.percent(part, whole))
     )
 
 

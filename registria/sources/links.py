@@ -31,8 +31,10 @@ def page_links(pages: DataFrame, suffix: str, base: str = "", max_links: int | N
 
 
 def latest(df: DataFrame, column: str, prefix: str = "20") -> DataFrame:
-    """One row: the last value, in text order, among those that start with ``prefix``."""
-    return df.where(F.startswith(column, F.lit(prefix))).agg(F.max(column).alias(column))
+    """The row with the last value, in text order, among those that start with ``prefix``."""
+    row = F.max_by(F.struct(*df.columns), column)
+    last = df.where(F.startswith(column, F.lit(prefix))).agg(row.alias("row"))
+    return last.where(F.col("row").isNotNull()).select("row.*")
 
 
 def one_per_family(links: DataFrame, present: DataFrame, link: str = "link", position: str = "pos") -> DataFrame:

@@ -388,8 +388,7 @@ where month = (select max(strftime(o_orderdate, '%Y%m') || '/') from orders wher
 group by 1""")
 def _(t):
     months = t.raw("orders").select(F.concat(F.date_format("o_orderdate", "yyyyMM"), F.lit("/")).alias("month"))
-    counted = months.groupBy("month").agg(state_reports.rows())
-    return counted.join(links.latest(counted, "month", prefix="19"), "month")
+    return links.latest(months.groupBy("month").agg(state_reports.rows()), "month", prefix="19")
 
 
 FAMILY_LINK = """concat(case page_id % 7 when 0 then 'Empresas' when 1 then 'Estabelecimentos' when 2 then 'Socios'
