@@ -11,6 +11,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import clean
 
 
+def splittable_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Equi-join on ``key`` whose skewed partitions AQE can split.
+
+    AQE splits a join's input only where it is shuffled for that join. A side
+    that was just aggregated by ``key`` would be joined where it lies, so the
+    key's hash joins along: both sides are then shuffled for the join itself.
+    """
+    hashed = F.xxhash64(key).alias("_hash")
+    joined = left.select("*", hashed).join(right.select("*", hashed), [key, "_hash"], how)
+    return joined.drop("_hash")
+
+
 def left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """LEFT JOIN that keeps duplicates on both sides and tolerates hot keys on both.
 
@@ -21,18 +33,17 @@ def left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     shuffle of ``left``.
     """
     keyed = left.where(F.col(key).isNotNull())
-    matched = keyed.join(right, key)
-    unmatched = keyed.join(right.select(key).distinct(), key, "left_anti")
-    alone = unmatched.unionByName(left.where(F.col(key).isNull()))
+    matched = splittable_join(keyed, right, key)
+    alone = anti_join(keyed, right, key).unionByName(left.where(F.col(key).isNull()))
     return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def anti_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    return left.join(right.select(key).distinct(), key, "left_anti")
+    return splittable_join(left, right.select(key).distinct(), key, "left_anti")
 
 
 def semi_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    return left.join(right.select(key).distinct(), key, "left_semi")
+    return splittable_join(left, right.select(key).distinct(), key, "left_semi")
 
 
 def left_company(companies: DataFrame, empresas: DataFrame) -> DataFrame:

@@ -44,4 +44,4 @@ def one_per_family(links: DataFrame, present: DataFrame, link: str = "link", pos
     """
     wanted = links.withColumn("family", family_of(link)).where(F.col("family").isNotNull())
     have = present.select(family_of("name").alias("family")).where(F.col("family").isNotNull())
-    return first_per_group(anti_join(wanted, have, "family"), "family", link, position)
+    return anti_join(first_per_group(wanted, "family", link, position), have, "family")
