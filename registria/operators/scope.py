@@ -7,7 +7,7 @@ with a dirty state count the same in every report.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -45,11 +45,29 @@ def day(value: Day) -> Column:
 
 
 def in_range(df: DataFrame, start: Day, end: Day, column: str = "dt") -> DataFrame:
-    """Rows dated ``start``..``end``, both included; reversed bounds are swapped."""
-    low, high = sorted((str(start), str(end)))
+    """Rows dated ``start``..``end``, both included; reversed bounds are swapped.
+
+    A stored date is compared as it is, so the range reaches the scan. A date
+    still to be parsed from text is named once, since the filter parses it anew
+    for each mention: its distance from the middle of the range decides.
+    """
+    low, high = sorted(date.fromisoformat(str(d)) for d in (start, end))
+    if column == "dt" and dict(df.dtypes).get("data_inicio_atividades") == "string":
+        days = (high - low).days
+        return df.where(F.abs(F.date_diff(column, day(low)) * 2 - days) <= days)
     return df.where(F.col(column).between(day(low), day(high)))
 
 
+def last_months(end: Day, months: int) -> tuple[date, date]:
+    """First and last day of the ``months`` calendar months that end with the month of ``end``."""
+    count = int(str(end)[:4]) * 12 + int(str(end)[5:7]) - 1
+
+    def first_of(month: int) -> date:
+        return date(month // 12, month % 12 + 1, 1)
+
+    return first_of(count - months + 1), first_of(count + 1) - timedelta(days=1)
+
+
 def clean_states(ufs: Sequence[str] | None) -> list[str]:
     """Trimmed, upper-cased, distinct, in the order given."""
     return list(dict.fromkeys(u.strip().upper() for u in ufs or [] if u and u.strip()))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import clean, formats, regions
 from .joins import calendar_spine
-from .scope import Day, activity_column, day, in_range, in_states, prepare_fact, scoped
+from .scope import Day, activity_column, day, in_range, in_states, last_months, prepare_fact, scoped
 
 
 def rows(name: str = "qty") -> Column:
@@ -42,14 +42,12 @@ def openings_by_year(
 
 def openings_last_12mo(fact: DataFrame, uf: str, end: Day) -> DataFrame:
     """``month, openings`` for the 12 months up to the whole month of ``end``."""
-    last = clean.month_floor(day(end))
-    first = F.add_months(last, -11)
+    first, last = last_months(end, 12)
     monthly = (
-        in_states(prepare_fact(fact), [uf])
-        .where(F.col("dt").between(first, F.last_day(last)))
+        scoped(fact, [uf], first, last)
         .groupBy(clean.month_floor("dt").alias("month")).agg(rows("openings"))
     )
-    return calendar_spine(monthly, first, last).orderBy("month")
+    return calendar_spine(monthly, day(first), day(last)).orderBy("month")
 
 
 def status_share(fact: DataFrame, ufs: Sequence[str] | None, start: Day, end: Day) -> DataFrame:

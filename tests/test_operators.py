@@ -290,6 +290,24 @@ def test_violations(spark):
     assert sound.count() == 2 and rest.first()["reasons"] == ["null:k", "null:n", "length:w"]
 
 
+@pytest.mark.parametrize("end, first, last", [
+    ("1998-12-02", date(1998, 1, 1), date(1998, 12, 31)),
+    ("2024-02-29", date(2023, 3, 1), date(2024, 2, 29)),
+    (date(2023, 1, 31), date(2022, 2, 1), date(2023, 1, 31)),
+])
+def test_last_months(end, first, last):
+    assert scope.last_months(end, 12) == (first, last)
+
+
+def test_range_of_text_and_of_dates_agree(spark):
+    texts = ["19961231", "19970101", "1998-06-30", "19981231", "19990101", "0", None]
+    staged = spark.createDataFrame([(t,) for t in texts], "data_inicio_atividades string")
+    stored = staged.select(scope.clean.parse_date_exact8("data_inicio_atividades").alias("data_inicio_atividades"))
+    for bounds, n in ((("1997-01-01", "1998-12-31"), 3), (("1998-12-31", "1998-12-31"), 1), (("1999-01-01", "1996-12-31"), 5)):
+        for df in (staged, stored):
+            assert scope.in_range(scope.prepare_fact(df), *bounds).count() == n
+
+
 def test_search_and_range(spark):
     df = spark.createDataFrame([("São Paulo", date(2020, 1, 1)), (None, date(2020, 1, 2)), ("Rio", None)], "c string, dt date")
     assert scope.text_search(df, "c", "PAULO").count() == 1

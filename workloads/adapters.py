@@ -20,7 +20,7 @@ def _padded(expr: str, width: int) -> str:
 
 
 def _ymd(col: str) -> str:
-    return f"cast(year({col})*10000 + month({col})*100 + day({col}) as string)"
+    return f"replace(cast(cast({col} as date) as string), '-', '')"
 
 
 DIRT = "(l_orderkey + l_linenumber)"
