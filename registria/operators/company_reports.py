@@ -46,6 +46,15 @@ def legal_nature_share(
     return left_dim_unknown(per_code, natureza).orderBy(F.desc("qty"), "nature").limit(top_n)
 
 
+def top_naturezas(
+    fact: DataFrame, empresas: DataFrame | None, natureza: DataFrame | None,
+    ufs: Sequence[str] | None, start: Day, end: Day, top_n: int = 8,
+) -> DataFrame | None:
+    """``legal_nature_share`` under the column name ``natureza``."""
+    share = legal_nature_share(fact, empresas, natureza, ufs, start, end, top_n)
+    return None if share is None else share.withColumnRenamed("nature", "natureza")
+
+
 def enterprise_profile(
     fact: DataFrame, empresas: DataFrame, simples: DataFrame | None, uf: str, start: Day, end: Day
 ) -> DataFrame:

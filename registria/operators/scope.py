@@ -58,6 +58,11 @@ def in_range(df: DataFrame, start: Day, end: Day, column: str = "dt") -> DataFra
     return df.where(F.col(column).between(day(low), day(high)))
 
 
+def default_range(today: date, months: int = 12) -> tuple[date, date]:
+    """The picker's range: ``months`` times thirty days up to ``today``."""
+    return today - timedelta(days=30 * months), today
+
+
 def last_months(end: Day, months: int) -> tuple[date, date]:
     """First and last day of the ``months`` calendar months that end with the month of ``end``."""
     count = int(str(end)[:4]) * 12 + int(str(end)[5:7]) - 1

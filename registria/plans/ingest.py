@@ -120,13 +120,15 @@ def run_ingest(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Archives in ``source`` to published tables: ``(manifest, load report, publish report)``.
 
-    Steps run in this order and each starts from what the one before stored. All
-    folders must be reachable from every executor.
+    Steps run in this order and each starts from what the one before stored.
+    Repeating a ``run_id`` skips members already extracted for it; a new one
+    starts clean. All folders must be reachable from every executor.
     """
     work = work.rstrip("/")
-    manifest = archives.expand(spark, source, f"{work}/csv", f"{work}/manifest/{run_id}", limit)
+    csv = f"{work}/csv/{run_id}"
+    manifest = archives.expand(spark, source, csv, f"{work}/manifest/{run_id}", limit)
     staged = load(
-        spark, f"{work}/csv", f"{work}/staging/{run_id}", allow_unknown=allow_unknown, strict=strict
+        spark, csv, f"{work}/staging/{run_id}", allow_unknown=allow_unknown, strict=strict
     )
     done = promote(spark, staged.tables, staged.ok, published, run_id, fact_partitions=fact_partitions)
     return manifest, staged.report, done

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import clean
 from ..operators.scope import prepare_fact
-from ..sources.layouts import DATE_COLUMNS
+from ..sources.layouts import DATE_COLUMNS, TABLES
 
 REPORT = "table string, action string, path string, error string"
 
@@ -44,17 +44,17 @@ def swap_table(spark: SparkSession, database: str, name: str, path: str) -> None
     Moving the location is one catalog change. Only a changed schema needs the
     entry to be made anew; the files of earlier runs stay where they are.
     """
-    table = f"`{database}`.`{name}`"
+    table, location = f"`{database}`.`{name}`", path.replace("'", "\\'")
     spark.sql(f"create database if not exists `{database}`")
     new = spark.read.parquet(path)
     if spark.catalog.tableExists(f"{database}.{name}"):
         if spark.table(table).schema == new.schema:
-            spark.sql(f"alter table {table} set location '{path}'")
+            spark.sql(f"alter table {table} set location '{location}'")
             spark.catalog.refreshTable(f"{database}.{name}")
             return
         spark.sql(f"drop table {table}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema)
-    spark.sql(f"create table {table} ({columns}) using parquet location '{path}'")
+    spark.sql(f"create table {table} ({columns}) using parquet location '{location}'")
 
 
 def promote(
@@ -64,7 +64,7 @@ def promote(
     """Publishes each staged table: ``table, action, path, error``.
 
     With ``status`` false nothing is touched. A table that fails is reported and
-    the others go on. Every run writes new paths, so a rerun repeats safely.
+    the others go on; kinds with nothing staged are reported as skipped. Every run writes new paths, so a rerun repeats safely.
     """
     report = []
     for name, df in staged.items():
@@ -82,6 +82,7 @@ def promote(
             report.append((name, "promoted", path, None))
         except Exception as error:  # one bad table must not stop the rest
             report.append((name, "failed", path, f"{type(error).__name__}: {error}"[:2000]))
+    report += [(name, "skipped", None, "nothing staged") for name in TABLES if name not in staged]
     return spark.createDataFrame(report, REPORT)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import shutil
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .files import list_files, resolve, spread
 
 CHUNK = 1024 * 1024
+# What a damaged or unreadable archive raises. Storage errors are left to Spark's task retry.
+DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError)
 MEMBERS = "archive string, position long, member string, bytes long, valid boolean, error string"
 RESULTS = "archive string, member string, out_path string, bytes long, status string, error string"
 
@@ -32,7 +35,7 @@ def _read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         (path, i, info.filename, info.file_size, True, None)
                         for i, info in enumerate(archive.infolist()) if not info.is_dir()
                     ]
-            except (zipfile.BadZipFile, OSError) as error:
+            except DAMAGE as error:
                 rows.append((path, None, None, None, False, f"{type(error).__name__}: {error}"))
         yield pd.DataFrame(rows, columns=["archive", "position", "member", "bytes", "valid", "error"]).astype(
             {"position": "Int64", "bytes": "Int64"}
@@ -71,7 +74,7 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for archive, member, size, out_path in batch[["archive", "member", "bytes", "out_path"]].itertuples(index=False):
             try:
                 rows.append((archive, member, out_path, size, _copy(archive, member, out_path), None))
-            except (zipfile.BadZipFile, OSError) as error:
+            except DAMAGE as error:
                 rows.append((archive, member, out_path, size, "failed", f"{type(error).__name__}: {error}"))
         yield pd.DataFrame(rows, columns=["archive", "member", "out_path", "bytes", "status", "error"])
 
@@ -84,9 +87,13 @@ def _copy(archive: str, member: str, out_path: str) -> str:
         return "exists"
     part = f"{out}.{uuid.uuid4().hex}.part"
     source, inner = resolve(archive)
-    with source.open_input_file(inner) as raw, zipfile.ZipFile(raw) as opened:
-        with opened.open(member) as src, target.open_output_stream(part) as dst:
-            shutil.copyfileobj(src, dst, CHUNK)
+    try:
+        with source.open_input_file(inner) as raw, zipfile.ZipFile(raw) as opened:
+            with opened.open(member) as src, target.open_output_stream(part) as dst:
+                shutil.copyfileobj(src, dst, CHUNK)
+    except DAMAGE:
+        target.delete_file(part)
+        raise
     target.move(part, out)
     return "extracted"
 

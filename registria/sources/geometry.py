@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Label point for a state without a usable outline (lon, lat).
@@ -22,8 +24,11 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     collection = spark.read.schema(SCHEMA).json(path, multiLine=True)
     sound = (F.col("type") == "FeatureCollection") & F.col("features").isNotNull()
     bad = F.count_if(~F.coalesce(sound, F.lit(False)))
-    if collection.agg((bad > 0) | (F.count(F.lit(1)) == 0)).first()[0]:
+    wrong, found = collection.agg((bad > 0) | (F.count(F.lit(1)) == 0), F.sum(F.size("features"))).first()
+    if wrong:
         raise ValueError(f"{path}: not a FeatureCollection with features")
+    if not found:
+        warnings.warn(f"{path} has no features", stacklevel=2)
     return collection.select(F.explode("features").alias("f")).select(
         F.col("f.properties.sigla").alias("uf"),
         F.col("f.geometry.type").alias("kind"),

@@ -299,6 +299,10 @@ def test_last_months(end, first, last):
     assert scope.last_months(end, 12) == (first, last)
 
 
+def test_default_range():
+    assert scope.default_range(date(2025, 1, 1)) == (date(2024, 1, 7), date(2025, 1, 1))
+
+
 def test_range_of_text_and_of_dates_agree(spark):
     texts = ["19961231", "19970101", "1998-06-30", "19981231", "19990101", "0", None]
     staged = spark.createDataFrame([(t,) for t in texts], "data_inicio_atividades string")

@@ -154,6 +154,18 @@ def test_expand(spark, tmp_path):
     assert {r["archive"].rsplit("/", 1)[1] for r in first.collect()} == {"Empresas0.zip"}
 
 
+def test_damaged_member_is_reported(spark, tmp_path):
+    source = tmp_path / "zip"
+    make_zips(source)
+    damaged = bytearray((source / "Estabelecimentos0.ZIP").read_bytes())
+    damaged[60:90] = b"\xff" * 30  # inside the compressed data
+    (source / "Estabelecimentos0.ZIP").write_bytes(damaged)
+    got = archives.expand(spark, str(source), str(tmp_path / "csv"), str(tmp_path / "m"))
+    found = {r["archive"].rsplit("/", 1)[1]: r["status"] for r in got.collect()}
+    assert found == {"Empresas0.zip": "extracted", "Estabelecimentos0.ZIP": "failed", "Municipios.zip": "extracted"}
+    assert not [p.name for p in (tmp_path / "csv").iterdir() if "Estabele" in p.name and not p.name.startswith(".")]
+
+
 def test_largest_member(spark, tmp_path):
     source = tmp_path / "zip"
     make_zips(source)
@@ -188,7 +200,8 @@ def test_ingest_end_to_end(spark, tmp_path):
             "Estabelecimentos0_K1.ESTABELE.csv": ("estabelecimento", 4, 0, "ok"),
             "Municipios_F.MUNICCSV.csv": ("municipio", 1, 0, "ok"),
         }
-        assert {r["action"] for r in done.collect()} == {"promoted"}
+        assert {r["table"] for r in done.where("action = 'promoted'").collect()} == {"empresas", "estabelecimento", "municipio"}
+        assert {r["error"] for r in done.where("action = 'skipped'").collect()} == {"nothing staged"} and done.count() == 10
         fact = spark.table("curated.estabelecimento")
         assert dict(fact.dtypes)["data_inicio_atividades"] == "date"
         assert sorted((r[0] for r in fact.select("data_inicio_atividades").collect()), key=str) == [
@@ -207,15 +220,18 @@ def test_ingest_end_to_end(spark, tmp_path):
     # rejected rows clear the gate when asked to; nothing is published then
     _, report, done = run("r3", strict=True)
     assert {r["action"] for r in done.collect()} == {"skipped"}
+    assert spark.table("curated.empresas").count() == 3
     assert "rejected rows" in {r["status"] for r in report.collect()}
 
     # so does a file nobody knows, unless allowed
-    write(tmp_path / "work" / "csv", "foo.csv", "a;b\n")
-    _, report, done = run("r4")
+    run("r4", strict=True)
+    write(tmp_path / "work" / "csv" / "r4", "foo.csv", "a;b\n")
+    manifest, report, done = run("r4")
+    assert {r["status"] for r in manifest.collect()} == {"exists"}
     assert {r["status"] for r in report.collect()} == {"ok", "unknown layout"}
     assert {r["action"] for r in done.collect()} == {"skipped"}
-    _, _, done = run("r5", allow_unknown=True)
-    assert {r["action"] for r in done.collect()} == {"promoted"}
+    _, _, done = run("r4", allow_unknown=True)
+    assert done.where("action = 'promoted'").count() == 3
 
 
 def test_malformed_rows_are_set_aside(spark, tmp_path):
@@ -236,7 +252,8 @@ def test_failed_table_does_not_stop_the_rest(spark, tmp_path):
     good = spark.createDataFrame([("1", "a")], "codigo string, descricao string")
     bad = good.selectExpr("raise_error('boom') as codigo", "descricao")
     done = publish.promote(spark, {"motivo": bad, "pais": good}, True, str(tmp_path), "r1", database="promo")
-    assert {r["table"]: r["action"] for r in done.collect()} == {"motivo": "failed", "pais": "promoted"}
+    found = {r["table"]: r["action"] for r in done.collect()}
+    assert (found["motivo"], found["pais"], found["simples"]) == ("failed", "promoted", "skipped")
 
 
 def test_harden_leaves_dates_and_missing_columns(spark):

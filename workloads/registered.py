@@ -545,6 +545,16 @@ def _(t):
     return company_reports.legal_nature_share(t.fact, t.emp, t.nat, None, *RANGE)
 
 
+@query("top_naturezas", "fact empresas natureza_juridica", f"""
+select coalesce(n.descricao, 'Unknown') as natureza, count(*) as qty
+from (select distinct cnpj_basico from fact where {BETWEEN} and uf_norm in ('SP', 'RJ', 'MG'))
+left join empresas e using (cnpj_basico)
+left join natureza_juridica n on {_code4('n.codigo')} = {_code4('e.natureza_juridica')}
+group by 1 order by qty desc, natureza limit 5""")
+def _(t):
+    return company_reports.top_naturezas(t.fact, t.emp, t.nat, SOME, *RANGE, top_n=5)
+
+
 @query("city_ranking", "cities_sp", "select municipio, qty from cities_sp order by qty desc, municipio limit 50")
 def _(t):
     return city_reports.city_ranking(t.fact, t.mun, STATE, *RANGE)
