@@ -10,7 +10,7 @@ DASH = "—"
 
 
 def fmt_num(value: Column | str) -> Column:
-    text = F.format_number(_c(value).cast("bigint"), 0)
+    text = F.format_number(_c(value).try_cast("bigint"), 0)
     return F.coalesce(F.replace(text, F.lit(","), F.lit(".")), F.lit(DASH))
 
 

@@ -12,6 +12,8 @@ from ..sources import archives, delimited, layouts
 from ..sources.files import list_files
 from .publish import promote, swap_table
 
+# Text bytes of the fact per published file; as parquet about a quarter of that.
+FACT_PARTITION_BYTES = 512 * 1024 * 1024
 REPORT = "file string, layout string, rows long, rejected long, status string, error string"
 
 
@@ -130,5 +132,9 @@ def run_ingest(
     staged = load(
         spark, csv, f"{work}/staging/{run_id}", allow_unknown=allow_unknown, strict=strict
     )
+    if fact_partitions is None:
+        of_fact = layouts.layout_of("out_path") == "estabelecimento"
+        size = manifest.where(of_fact).agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+        fact_partitions = 1 + size // FACT_PARTITION_BYTES
     done = promote(spark, staged.tables, staged.ok, published, run_id, fact_partitions=fact_partitions)
     return manifest, staged.report, done

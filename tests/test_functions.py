@@ -1,3 +1,5 @@
+import random
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -29,6 +31,25 @@ def test_dates(spark):
     assert values(spark, clean.parse_date_exact8, DATES) == [e for _, e in DATES.values()]
 
 
+def test_dates_of_random_text(spark):
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("0000111222399-/. x") for _ in range(rng.randrange(14))) for _ in range(4000)]
+    texts += [f"{rng.randrange(1900, 2100)}{rng.randrange(14):02}{rng.randrange(33):02}" for _ in range(2000)]
+
+    def parse(text, lengths):
+        digits = re.sub(r"[^0-9]", "", text)
+        if len(digits) not in lengths:
+            return None
+        try:
+            return date(int(digits[:4]), int(digits[4:6]), int(digits[6:8]))
+        except ValueError:
+            return None
+
+    texts = [t for t in texts if not re.sub(r"[^0-9]", "", t).startswith("0000")]  # Python has no year 0
+    assert values(spark, clean.parse_date_prefix8, texts) == [parse(t, range(8, 99)) for t in texts]
+    assert values(spark, clean.parse_date_exact8, texts) == [parse(t, [8]) for t in texts]
+
+
 def test_date_of_a_date_column(spark):
     assert values(spark, clean.parse_date_prefix8, [D, None], "date") == [D, None]
 
@@ -58,7 +79,7 @@ def test_text_rules(spark, expr, cases):
 
 
 def test_formats(spark):
-    assert values(spark, formats.fmt_num, [1234567.9, -1234.5, 0.0, None], "double") == ["1.234.567", "-1.234", "0", "—"]
+    assert values(spark, formats.fmt_num, [1234567.9, -1234.5, 0.0, float("nan"), None], "double") == ["1.234.567", "-1.234", "0", "—", "—"]
     assert values(spark, formats.fmt_money, [1234.5, 0.0, None], "double") == ["R$ 1 234,50", "R$ 0,00", "—"]
     assert values(spark, formats.fmt_percent, [12.5, 0.0], "double") == ["12.50%", "0.00%"]
     assert values(spark, formats.tick, [True, False], "boolean") == ["✓", ""]

@@ -114,6 +114,28 @@ def test_broken_records_over_many_blocks(spark, tmp_path, tiny_blocks, encoding)
     assert all(r[delimited.CORRUPT] is None for r in got)
 
 
+def test_broken_records_with_windows_line_ends_and_bare_values(spark, tmp_path, tiny_blocks):
+    rng = random.Random(12)
+    want, text = [], ""
+    for i in range(300):
+        kind = rng.randrange(4)
+        name, shown = [("bare", "bare"), (None, ""), ("", '""'), ("in\r\nside", '"in\r\nside"')][kind]
+        last, end = rng.choice([("x", "x"), ("x", '"x"'), (None, ""), ("", '""')])
+        want.append((f"{i:08}", name, last))
+        text += f"{i:08};{shown};2062;49;;01;{end}\r\n"
+    path = str(write(tmp_path, "empre.csv", text))
+    got = delimited.read_files(spark, "empresas", [(path, "utf-8", True)]).collect()
+    assert sorted((r["cnpj_basico"], r["razao_social"], r["ente_federativo_responsavel"]) for r in got) == want
+    assert all(r[delimited.CORRUPT] is None and r["capital_social"] is None for r in got)
+
+
+def test_undecodable_bytes_are_replaced(spark, tmp_path):
+    for multiline in (False, True):
+        path = write(tmp_path, f"munic{multiline}.csv", b'"7107";"S\xffO"\n')
+        row = delimited.read_files(spark, "municipio", [(str(path), "utf-8", multiline)]).first()
+        assert row["descricao"] == "S\ufffdO"
+
+
 def test_unterminated_file_fails_alone(spark, tmp_path):
     folder = tmp_path / "csv"
     folder.mkdir()

@@ -374,7 +374,7 @@ def _(t):
 
 
 @query("page_links", "", r"""
-select page_id, pos - 1 as pos, case when starts_with(href, 'http') then href else 'https://example.org' || href end as link
+select page_id, cast(pos - 1 as int) as pos, case when starts_with(href, 'http') then href else 'https://example.org' || href end as link
 from (select page_id, unnest(hrefs) as href, unnest(range(1, len(hrefs) + 1)) as pos
   from (select page_id, regexp_extract_all(html, '<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1) as hrefs from pages))
 where href <> '' and lower(href) like '%.'""")
