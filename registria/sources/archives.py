@@ -13,13 +13,16 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.joins import anti_join
 from .files import list_files, resolve, spread
 
 CHUNK = 1024 * 1024
-# What a damaged or unreadable archive raises. Storage errors are left to Spark's task retry.
-DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError)
+# What a damaged or unreadable archive raises; ArrowInvalid if it is too short for the trailer.
+# Storage errors are left to Spark's task retry.
+DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, pa.ArrowInvalid)
 MEMBERS = "archive string, position long, member string, bytes long, valid boolean, error string"
 RESULTS = "archive string, member string, out_path string, bytes long, status string, error string"
 
@@ -105,15 +108,35 @@ def extract(archives: DataFrame, target: str) -> DataFrame:
     work: store it once instead of reading it twice. A member extracted before
     is ``exists``, an unreadable archive ``corrupt``.
     """
+    listed = members(archives)
+    return _copied(with_targets(listed, target), target).unionByName(_unread(listed, ~F.col("valid"), "corrupt"))
+
+
+def extract_largest(archives: DataFrame, target: str) -> DataFrame:
+    """As ``extract``, but only the largest CSV-like member of each archive, named as
+    ``largest_member`` says. An archive without such a member is ``no csv member``."""
+    listed = members(archives)
+    picked = largest_member(listed)
+    out_path = F.concat(F.lit(target.rstrip("/") + "/"), F.col("out_name"))
+    without = anti_join(listed, picked, "archive").where(~F.col("valid") | (F.col("position") == 0))
+    return (
+        _copied(picked.withColumn("out_path", out_path), target)
+        .unionByName(_unread(without, ~F.col("valid"), "corrupt"))
+        .unionByName(_unread(without, F.col("valid"), "no csv member"))
+    )
+
+
+def _copied(targets: DataFrame, target: str) -> DataFrame:
     system, inner = resolve(target)
     system.create_dir(inner, recursive=True)
-    listed = members(archives)
-    done = spread(with_targets(listed, target)).mapInPandas(_extract, RESULTS)
-    corrupt = listed.where(~F.col("valid")).select(
+    return spread(targets).mapInPandas(_extract, RESULTS)
+
+
+def _unread(listed: DataFrame, which: Column, status: str) -> DataFrame:
+    return listed.where(which).select(
         "archive", "member", F.lit(None).cast("string").alias("out_path"), "bytes",
-        F.lit("corrupt").alias("status"), "error",
+        F.lit(status).alias("status"), "error",
     )
-    return done.unionByName(corrupt)
 
 
 def expand(spark: SparkSession, folder: str, target: str, manifest: str, limit: int | None = None) -> DataFrame:

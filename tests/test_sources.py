@@ -199,6 +199,13 @@ def test_largest_member(spark, tmp_path):
     got = {r["archive"].rsplit("/", 1)[1]: (r["member"], r["out_name"]) for r in archives.largest_member(listed).collect()}
     assert got["mixed.zip"] == ("dir/ESTABELE", "mixed__ESTABELE.csv")
     assert got["Estabelecimentos0.ZIP"] == ("K1.ESTABELE", "Estabelecimentos0__K1.ESTABELE")
+    write(source, "b.zip", "<html>")
+    done = archives.extract_largest(files.list_files(spark, str(source), ".zip"), str(tmp_path / "csv")).collect()
+    assert {r["archive"].rsplit("/", 1)[1]: r["status"] for r in done} == {
+        "mixed.zip": "extracted", "Estabelecimentos0.ZIP": "extracted", "b.zip": "corrupt",
+        "Empresas0.zip": "no csv member", "Municipios.zip": "no csv member",
+    }
+    assert (tmp_path / "csv" / "mixed__ESTABELE.csv").read_text() == "x" * 50
 
 
 def test_inventory(spark, tmp_path):
