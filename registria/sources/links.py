@@ -11,25 +11,47 @@ from .layouts import family_of
 HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
 
 
-def page_links(pages: DataFrame, suffix: str, base: str = "", max_links: int | None = None) -> DataFrame:
+def hrefs(pages: DataFrame, *keep: str) -> DataFrame:
+    """``pos, href`` of every link of every page, with the page columns named in ``keep``."""
+    found = F.regexp_extract_all("html", F.lit(HREF), 1)
+    return pages.select(*keep, F.posexplode(found).alias("pos", "href")).where(F.col("href") != "")
+
+
+def page_links(
+    pages: DataFrame, suffix: str, base: str = "", base_column: str | None = None, max_links: int | None = None
+) -> DataFrame:
     """``page_id, pos, link`` for hrefs that end in ``suffix`` (any case).
 
-    Links not starting with ``http`` are taken relative to ``base``. ``max_links``
-    keeps the first links in page order.
+    Links not starting with ``http`` are taken relative to ``base``, or to the
+    page's ``base_column``. ``max_links`` keeps the first links in page order.
     """
-    hrefs = F.regexp_extract_all("html", F.lit(HREF), 1)
+    keep = ["page_id", base_column] if base_column else ["page_id"]
+    start = F.col(base_column) if base_column else F.lit(base)
     links = (
-        pages.select("page_id", F.posexplode(hrefs).alias("pos", "href"))
-        .where((F.col("href") != "") & F.endswith(F.lower("href"), F.lit(suffix.lower())))
+        hrefs(pages, *keep).where(F.endswith(F.lower("href"), F.lit(suffix.lower())))
         .select(
             "page_id", "pos",
             F.when(F.startswith("href", F.lit("http")), F.col("href"))
-            .otherwise(F.concat(F.lit(base), F.col("href"))).alias("link"),
+            .otherwise(F.concat(start, F.col("href"))).alias("link"),
         )
     )
     return links if max_links is None else links.orderBy("page_id", "pos").limit(max_links)
 
 
+def newest_month_links(
+    pages: DataFrame, root: str, suffix: str = ".zip", max_links: int | None = 3
+) -> DataFrame:
+    """Links of the newest month among stored index pages (``page_id, url, html``).
+
+    The page at ``root`` lists one folder per month; the last in text order that
+    starts with ``20`` is the newest, and its page is stored under ``root`` plus
+    the folder. No such page or no such link leaves the result empty.
+    """
+    folders = hrefs(pages.where(F.col("url") == root)).select("href")
+    month = latest(folders, "href").select(F.concat(F.lit(root), F.col("href")).alias("url"))
+    return page_links(pages.join(month, "url"), suffix, base_column="url", max_links=max_links)
+
+
 def latest(df: DataFrame, column: str, prefix: str = "20") -> DataFrame:
     """The row with the last value, in text order, among those that start with ``prefix``."""
     row = F.max_by(F.struct(*df.columns), column)

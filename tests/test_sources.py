@@ -307,6 +307,15 @@ def test_links(spark):
     got = [r["link"] for r in links.page_links(pages, ".zip", "http://base/").orderBy("pos").collect()]
     assert got == ["http://base/a.ZIP", "http://h/b.zip"]
     assert links.page_links(pages, ".zip", max_links=1).count() == 1
+    root = "http://h/data/"
+    stored = spark.createDataFrame([
+        (1, root, '<a href="202312/">a</a><a href="202403/">b</a><a href="../">c</a>'),
+        (2, root + "202312/", '<a href="old.zip">x</a>'),
+        (3, root + "202403/", '<a href="x.txt">x</a><a href="A.zip">x</a><a href="http://o/B.ZIP">x</a><a href="C.zip">x</a>'),
+    ], "page_id int, url string, html string")
+    newest = links.newest_month_links(stored, root, max_links=2)
+    assert [r["link"] for r in newest.collect()] == [root + "202403/A.zip", "http://o/B.ZIP"]
+    assert links.newest_month_links(stored, "http://nowhere/").count() == 0
     months = spark.createDataFrame([("202312/",), ("202403/",), ("old/",)], "href string")
     assert links.latest(months, "href").first()[0] == "202403/"
     found = spark.createDataFrame([(1, "Empresas1.zip"), (2, "Empresas0.zip"), (3, "Simples.zip"), (4, "z.zip")], "pos int, link string")
