@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -71,7 +72,7 @@ def load(
     for layout, known in profiles.items():
         path = f"{staging.rstrip('/')}/{layout}"
         try:
-            balance = {_plain(r["path"]): r for r in delimited.quote_balance(spark, [p for p, _ in known]).collect()}
+            balance = {_listed(r["path"]): r for r in delimited.quote_balance(spark, [p for p, _ in known]).collect()}
             unterminated |= {p for p, r in balance.items() if r["unterminated"]}
             usable = [
                 (p, e, _plain(p) in balance and balance[_plain(p)]["multiline"])
@@ -84,7 +85,7 @@ def load(
                 F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("sound")).alias("rejected")
             )
             counted = per_file.collect()
-            counts.update({_plain(r[0]): (r[1], r[2]) for r in counted})
+            counts.update({_listed(r[0]): (r[1], r[2]) for r in counted})
             extra = [delimited.CORRUPT, delimited.SOURCE, "reasons", "sound"]
             tables[layout] = stored.where("sound").drop(*extra)
             rejected[layout] = stored.where(~F.col("sound")).drop("sound")
@@ -115,6 +116,11 @@ def _plain(path: str) -> str:
     return path.replace("file:///", "file:/")
 
 
+def _listed(metadata_path: str) -> str:
+    """A path of file metadata, where names are percent-encoded, as listings write it."""
+    return _plain(unquote(metadata_path))
+
+
 def run_ingest(
     spark: SparkSession, source: str, work: str, published: str, run_id: str,
     limit: int | None = None, allow_unknown: bool = False, strict: bool = False,

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.clean import strip_nul
-from .files import resolve, spread
+from .files import literal, resolve, spread
 from .layouts import DATE_COLUMNS, LAYOUTS, text_schema
 
 PROBE_BYTES = 128 * 1024
@@ -62,7 +62,7 @@ def quote_balance(spark: SparkSession, paths: list[str]) -> DataFrame:
     Plain text lines, so many tasks scan one large file.
     """
     return (
-        spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), _odd_quotes("value").alias("odd"))
+        spark.read.text([literal(p) for p in paths]).select(F.col("_metadata.file_path").alias("path"), _odd_quotes("value").alias("odd"))
         .groupBy("path").agg(
             (F.max("odd") == 1).alias("multiline"), (F.sum("odd") % 2 == 1).alias("unterminated")
         )
@@ -88,7 +88,7 @@ def _charset(encoding: str) -> str:
 def _read_lines(spark: SparkSession, layout: str, paths: list[str], encoding: str) -> DataFrame:
     """Files whose records are lines: Spark splits them at will."""
     reader = spark.read.schema(_schema(layout)).options(**_options(), encoding=_charset(encoding))
-    return reader.csv(paths).select("*", F.col("_metadata.file_path").alias(SOURCE))
+    return reader.csv([literal(p) for p in paths]).select("*", F.col("_metadata.file_path").alias(SOURCE))
 
 
 def _read_broken(spark: SparkSession, layout: str, paths: list[str], encoding: str) -> DataFrame:
@@ -102,7 +102,7 @@ def _read_broken(spark: SparkSession, layout: str, paths: list[str], encoding: s
     line, block = [SOURCE, "_block"], Window.partitionBy(SOURCE, "_block").orderBy("_pos")
     before = block.rowsBetween(Window.unboundedPreceding, -1)
     earlier_blocks = Window.partitionBy(SOURCE).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    lines = spark.read.text(paths, lineSep="\n").select(
+    lines = spark.read.text([literal(p) for p in paths], lineSep="\n").select(
         F.col("_metadata.file_path").alias(SOURCE), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_pos"), "value", _odd_quotes("value").alias("_odd"),
     )

@@ -16,6 +16,11 @@ def resolve(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
 
 
+def literal(path: str) -> str:
+    """A listed path for a reader that would take ``[``, ``{``, ``*`` or ``?`` as a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def list_files(spark: SparkSession, folder: str, suffix: str = "", limit: int | None = None) -> DataFrame:
     """``path, name, length, modified`` of the files whose name ends in ``suffix`` (any case).
 

@@ -273,6 +273,21 @@ def test_malformed_rows_are_set_aside(spark, tmp_path):
     assert len(rejected) == 2 and all(r["reasons"] == ["malformed"] for r in rejected)
 
 
+def test_mixed_encodings_and_odd_names_in_one_load(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    names = {"F.K03200$Z.D50308.MUNICCSV.csv": "latin-1", "Munic\u00edpios 1+2%20.csv": "utf-8", "z municipio [1]{a}.csv": "utf-8-sig"}
+    for i, (name, encoding) in enumerate(names.items()):
+        text = f'"710{i}";"S\u00c3O PAULO"\n' + ('"7200";"two\nlines"\n' if encoding == "utf-8" else "")
+        write(folder, name, text, encoding)
+    staged = ingest.load(spark, str(folder), str(tmp_path / "staging"), database="mixed")
+    assert {r["file"]: (r["rows"], r["status"]) for r in staged.report.collect()} == {
+        n: (2 if e == "utf-8" else 1, "ok") for n, e in names.items()}
+    found = {r["codigo"]: r["descricao"] for r in staged.tables["municipio"].collect()}
+    assert found == {"7100": "S\u00c3O PAULO", "7101": "S\u00c3O PAULO", "7102": "S\u00c3O PAULO", "7200": "two\nlines"}
+    assert ingest.load(spark, str(folder), str(tmp_path / "s2"), limit_files=1, database="mixed").report.count() == 1
+
+
 def test_no_file_is_not_ok(spark, tmp_path):
     assert not ingest.load(spark, str(tmp_path), str(tmp_path / "staging")).ok
 
