@@ -29,22 +29,33 @@ def digits(value: Column | str) -> Column:
     return F.regexp_replace(_c(value).cast("string"), r"\D", "")
 
 
-def _parse_date(value: Column | str, eight: str) -> Column:
+def _eight_digits(rest: str) -> str:
+    """Pattern of a text that starts with eight digits and goes on with ``rest``.
+
+    First the usual shapes, plain or with dashes; then digits with anything
+    between; then whatever is left, which sets no group.
+    """
+    plain, apart = r"(\d{4})-?(\d{2})-?(\d{2})", r"\D*(\d)" * 8
+    return f"(?s)^(?:{plain}{rest}|{apart}{rest}|.*)$"
+
+
+def _parse_date(value: Column | str, pattern: str) -> Column:
     # The input is named once on purpose. A filter on the date is pushed below the
     # projection that makes it, and there every mention is computed again.
-    # A cast needs no pattern formatter and gives NULL for a blank or impossible date.
-    ymd = F.regexp_extract(digits(value), eight, 0)
-    return F.regexp_replace(ymd, "^(....)(..)(..)$", "$1-$2-$3").try_cast("date")
+    # Without a match the text becomes "--". A cast needs no pattern formatter and
+    # gives NULL for that as for an impossible date.
+    iso = F.regexp_replace(_c(value).cast("string"), pattern, "$1$4$5$6$7-$2$8$9-$3$10$11")
+    return iso.try_cast("date")
 
 
 def parse_date_prefix8(value: Column | str) -> Column:
     """Date from the first eight digits; NULL if there are fewer or they are no date."""
-    return _parse_date(value, "^[0-9]{8}")
+    return _parse_date(value, _eight_digits(".*"))
 
 
 def parse_date_exact8(value: Column | str) -> Column:
     """Date if there are exactly eight digits; otherwise NULL."""
-    return _parse_date(value, "^[0-9]{8}$")
+    return _parse_date(value, _eight_digits(r"\D*"))
 
 
 def date_class(value: Column | str) -> Column:

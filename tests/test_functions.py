@@ -33,7 +33,7 @@ def test_dates(spark):
 
 def test_dates_of_random_text(spark):
     rng = random.Random(1)
-    texts = ["".join(rng.choice("0000111222399-/. x") for _ in range(rng.randrange(14))) for _ in range(4000)]
+    texts = ["".join(rng.choice("0000111222399-/. x\n\u0663") for _ in range(rng.randrange(14))) for _ in range(4000)]
     texts += [f"{rng.randrange(1900, 2100)}{rng.randrange(14):02}{rng.randrange(33):02}" for _ in range(2000)]
 
     def parse(text, lengths):
