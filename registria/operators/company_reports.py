@@ -20,6 +20,7 @@ from .sets import union_parts
 from .state_reports import count_if, region_rate, rows
 
 KEY = "cnpj_basico"
+COUNT = "decimal(19,0)"
 
 
 def _regime(simples: DataFrame) -> DataFrame:
@@ -114,7 +115,8 @@ def _mei_density(pairs: DataFrame, simples: DataFrame | None) -> DataFrame:
 def capital_histogram(held: DataFrame, empresas: DataFrame) -> DataFrame:
     """``uf, cap, times``: capital of the company of each establishment, equal values counted.
 
-    ``held`` has ``uf, cnpj_basico, establishments``.
+    ``held`` has ``uf, cnpj_basico, establishments``. Counts are decimals: where one
+    company fills much of both tables, its pairs outgrow a long.
     """
     master = (
         empresas.select(KEY, clean.parse_capital("capital_social").alias("cap"))
@@ -122,7 +124,7 @@ def capital_histogram(held: DataFrame, empresas: DataFrame) -> DataFrame:
     )
     return (
         held.where(F.col("uf").isNotNull()).join(master, KEY).groupBy("uf", "cap")
-        .agg(F.sum(F.col("establishments") * F.col("copies")).alias("times"))
+        .agg(F.sum(F.col("establishments").cast(COUNT) * F.col("copies").cast(COUNT)).alias("times"))
     )
 
 
@@ -136,10 +138,10 @@ def winsorized_capital(
 def _winsorized(hist: DataFrame, q: str) -> DataFrame:
     hist = checkpointed(hist)  # read once per digit of the percentile and once to average
     cut = weighted_percentile(hist, "uf", "cap", "times", q)
-    cap = F.least(F.col("cap").cast("double"), F.col("p"))
+    cap, times = F.least(F.col("cap").cast("double"), F.col("p")), F.col("times").cast("double")
     return (
         hist.join(cut, "uf").groupBy("uf", F.col("p").alias("p90"))
-        .agg(F.sum("times").alias("n"), (F.sum(cap * F.col("times")) / F.sum("times")).alias("avg_cap_w"))
+        .agg(F.sum("times").alias("n"), (F.sum(cap * times) / F.sum(times)).alias("avg_cap_w"))
         .select("uf", "n", "p90", "avg_cap_w")
     )
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BASE = 10_000_000
+RANK = "decimal(38,0)"  # weights may be products of counts, beyond a long
 
 
 def _digits(value: Column) -> list[Column]:
@@ -29,12 +30,12 @@ def weighted_percentile(hist: DataFrame, group: str, value: str, weight: str, q:
     """
     d1, d2, d3 = _digits(F.col(value))
     counts = hist.select(
-        F.col(group), F.col(weight).alias("_w"), d1.alias("_d1"), d2.alias("_d2"), d3.alias("_d3")
+        F.col(group), F.col(weight).cast(RANK).alias("_w"), d1.alias("_d1"), d2.alias("_d2"), d3.alias("_d3")
     )
     position = (F.col("rows") - 1) * F.lit(q).cast("decimal(5,4)")
     wanted = F.explode(F.array(
-        F.struct(F.lit("lo").alias("at"), F.floor(position).cast("bigint").alias("rank")),
-        F.struct(F.lit("hi").alias("at"), F.ceil(position).cast("bigint").alias("rank")),
+        F.struct(F.lit("lo").alias("at"), F.floor(position).cast(RANK).alias("rank")),
+        F.struct(F.lit("hi").alias("at"), F.ceil(position).cast(RANK).alias("rank")),
     ))
 
     def holding_rank(counted: DataFrame, upto: Column) -> DataFrame:
@@ -43,7 +44,7 @@ def weighted_percentile(hist: DataFrame, group: str, value: str, weight: str, q:
         return (
             counted.withColumn("_upto", upto)
             .where((F.col("_rank") >= before) & (F.col("_rank") < F.col("_upto")))
-            .withColumn("_rank", F.col("_rank") - before).drop("_upto", "_n")
+            .withColumn("_rank", (F.col("_rank") - before).cast(RANK)).drop("_upto", "_n")
         )
 
     top = counts.groupBy(group, "_d1").agg(F.sum("_w").alias("_n"))

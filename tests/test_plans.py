@@ -113,6 +113,15 @@ def test_hot_keys_are_split_on_either_side(spark):
             assert "skew=true" in plan(df, "simple")
 
 
+def test_pair_counts_beyond_a_long(spark):
+    held = spark.createDataFrame([("SP", "hot", 10**11), ("SP", "a", 5)], "uf string, cnpj_basico string, establishments long")
+    master = spark.createDataFrame([("hot", "10,00"), ("a", "99,00")], "cnpj_basico string, capital_social string")
+    hist = company_reports.capital_histogram(held, master).withColumn("times", F.col("times") * 10**11)
+    by_state = company_reports._winsorized(hist, "0.90").first()
+    assert (int(by_state["n"]), by_state["p90"]) == ((10**11 + 5) * 10**11, 10.0)
+    assert by_state["avg_cap_w"] == pytest.approx(10.0)
+
+
 def test_hot_company_is_one_row_before_the_capital_join(spark):
     """A company with a third of all establishments and of all master rows."""
     key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id")))

@@ -673,7 +673,7 @@ def _(t):
 select uf, n, round(p90, 2) as p90, round(avg_cap_w, 2) as avg_cap_w from winsorized""")
 def _(t):
     by_state = company_reports.winsorized_capital(t.fact, t.emp, *RANGE)
-    return by_state.select("uf", "n", F.round("p90", 2).alias("p90"), F.round("avg_cap_w", 2).alias("avg_cap_w"))
+    return by_state.select("uf", F.col("n").cast("bigint").alias("n"), F.round("p90", 2).alias("p90"), F.round("avg_cap_w", 2).alias("avg_cap_w"))
 
 
 @query("region_capital", "region_cap", "select region, round(avg_cap, 2) as avg_cap from region_cap")
