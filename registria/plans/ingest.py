@@ -54,13 +54,16 @@ def load(
     others go on; so does finding no file. Rows that break a rule are set aside
     with the reason. ``strict`` clears the gate for them too, as a database that
     refuses the file would. Staging is rebuilt on every run, so a retry repeats
-    nothing.
+    nothing and no table of an earlier run is left standing.
     """
+    spark.sql(f"create database if not exists `{database}`")
+    for layout in layouts.TABLES:  # catalog entries only; files stay
+        spark.sql(f"drop table if exists `{database}`.`temp_{layout}`")
     files = list_files(spark, folder, ".csv", limit_files).select(
         "path", "name", layouts.layout_of("name").alias("layout")
     )
     # one short row per file, not per record
-    probed = delimited.encodings(files.where(F.col("layout").isin(layouts.TABLES))).alias("e")
+    probed = delimited.encodings(files.where(F.col("layout").isin(layouts.TABLES)))
     listed = files.join(probed, "path", "left").orderBy("name").collect()
     profiles: dict[str, list[tuple[str, str]]] = defaultdict(list)
     for row in listed:

@@ -286,6 +286,10 @@ def test_mixed_encodings_and_odd_names_in_one_load(spark, tmp_path):
     found = {r["codigo"]: r["descricao"] for r in staged.tables["municipio"].collect()}
     assert found == {"7100": "S\u00c3O PAULO", "7101": "S\u00c3O PAULO", "7102": "S\u00c3O PAULO", "7200": "two\nlines"}
     assert ingest.load(spark, str(folder), str(tmp_path / "s2"), limit_files=1, database="mixed").report.count() == 1
+    assert spark.table("mixed.temp_municipio").count() == 1
+    (tmp_path / "none").mkdir()
+    assert not ingest.load(spark, str(tmp_path / "none"), str(tmp_path / "s3"), database="mixed").ok
+    assert not spark.catalog.tableExists("mixed.temp_municipio")
 
 
 def test_no_file_is_not_ok(spark, tmp_path):
