@@ -6,7 +6,7 @@ from collections import defaultdict
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from ..operators.quality import violation_reasons
 from ..sources import archives, delimited, layouts
@@ -47,6 +47,7 @@ def stage_layout(
 def load(
     spark: SparkSession, folder: str, staging: str, limit_files: int | None = None,
     allow_unknown: bool = False, strict: bool = False, database: str = "staging",
+    manifest: DataFrame | None = None,
 ) -> Staged:
     """Stages every ``.csv`` of the folder by layout.
 
@@ -54,7 +55,8 @@ def load(
     others go on; so does finding no file. Rows that break a rule are set aside
     with the reason. ``strict`` clears the gate for them too, as a database that
     refuses the file would. Staging is rebuilt on every run, so a retry repeats
-    nothing and no table of an earlier run is left standing.
+    nothing and no table of an earlier run is left standing. ``manifest`` spares
+    the pass over the text that finds line breaks in quotes.
     """
     spark.sql(f"create database if not exists `{database}`")
     for layout in layouts.TABLES:  # catalog entries only; files stay
@@ -65,21 +67,30 @@ def load(
     # one short row per file, not per record
     probed = delimited.encodings(files.where(F.col("layout").isin(layouts.TABLES)))
     listed = files.join(probed, "path", "left").orderBy("name").collect()
-    profiles: dict[str, list[tuple[str, str]]] = defaultdict(list)
+    noted = {} if manifest is None else {
+        r["name"]: (r["multiline"], r["unterminated"]) for r in manifest.where("status = 'extracted'").select(
+            F.element_at(F.split("out_path", "/"), -1).alias("name"), "multiline", "unterminated"
+        ).collect()
+    }
+    profiles: dict[str, list[Row]] = defaultdict(list)
     for row in listed:
         if row["layout"] in layouts.TABLES:
-            profiles[row["layout"]].append((row["path"], row["encoding"]))
+            profiles[row["layout"]].append(row)
 
     tables, rejected, counts, errors = {}, {}, {}, {}
     unterminated: set[str] = set()
     for layout, known in profiles.items():
         path = f"{staging.rstrip('/')}/{layout}"
         try:
-            balance = {_listed(r["path"]): r for r in delimited.quote_balance(spark, [p for p, _ in known]).collect()}
-            unterminated |= {p for p, r in balance.items() if r["unterminated"]}
+            balance = {_plain(r["path"]): noted[r["name"]] for r in known if r["name"] in noted}
+            unseen = [r["path"] for r in known if r["name"] not in noted]
+            if unseen:
+                found = delimited.quote_balance(spark, unseen).collect()
+                balance.update({_listed(r["path"]): (r["multiline"], r["unterminated"]) for r in found})
+            unterminated |= {p for p, (_, never_ends) in balance.items() if never_ends}
             usable = [
-                (p, e, _plain(p) in balance and balance[_plain(p)]["multiline"])
-                for p, e in known if _plain(p) not in unterminated
+                (r["path"], r["encoding"], balance.get(_plain(r["path"]), (False, False))[0])
+                for r in known if _plain(r["path"]) not in unterminated
             ]
             if not usable:
                 continue
@@ -139,7 +150,8 @@ def run_ingest(
     csv = f"{work}/csv/{run_id}"
     manifest = archives.expand(spark, source, csv, f"{work}/manifest/{run_id}", limit)
     staged = load(
-        spark, csv, f"{work}/staging/{run_id}", allow_unknown=allow_unknown, strict=strict
+        spark, csv, f"{work}/staging/{run_id}", allow_unknown=allow_unknown, strict=strict,
+        manifest=manifest,
     )
     if fact_partitions is None:
         of_fact = layouts.layout_of("out_path") == "estabelecimento"

@@ -6,12 +6,12 @@ Bytes stream from archive to target in chunks; no file is ever held in memory.
 
 from __future__ import annotations
 
-import shutil
 import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -24,7 +24,10 @@ CHUNK = 1024 * 1024
 # Storage errors are left to Spark's task retry.
 DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, pa.ArrowInvalid)
 MEMBERS = "archive string, position long, member string, bytes long, valid boolean, error string"
-RESULTS = "archive string, member string, out_path string, bytes long, status string, error string"
+RESULTS = (
+    "archive string, member string, out_path string, bytes long, status string, error string,"
+    " multiline boolean, unterminated boolean"
+)
 
 
 def _read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -76,37 +79,63 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for archive, member, size, out_path in batch[["archive", "member", "bytes", "out_path"]].itertuples(index=False):
             try:
-                rows.append((archive, member, out_path, size, _copy(archive, member, out_path), None))
+                status, quotes = _copy(archive, member, out_path)
+                flags = (quotes.multiline, quotes.open) if quotes else (None, None)
+                rows.append((archive, member, out_path, size, status, None, *flags))
             except DAMAGE as error:
-                rows.append((archive, member, out_path, size, "failed", f"{type(error).__name__}: {error}"))
-        yield pd.DataFrame(rows, columns=["archive", "member", "out_path", "bytes", "status", "error"])
+                rows.append((archive, member, out_path, size, "failed", f"{type(error).__name__}: {error}", None, None))
+        yield pd.DataFrame(rows, columns=[
+            "archive", "member", "out_path", "bytes", "status", "error", "multiline", "unterminated",
+        ]).astype({"multiline": "boolean", "unterminated": "boolean"})
 
 
-def _copy(archive: str, member: str, out_path: str) -> str:
-    """Copies a member verbatim. The name appears only when the file is complete, so a
-    lost or repeated task leaves nothing half-written."""
+class QuoteState:
+    """Whether a stream of bytes has a line break inside quotes, and whether it ends inside."""
+
+    def __init__(self) -> None:
+        self.open = self.multiline = False
+
+    def feed(self, chunk: bytes) -> None:
+        data = np.frombuffer(chunk, dtype=np.uint8)
+        inside = np.bitwise_xor.accumulate(data == ord('"')) ^ self.open
+        if not self.multiline:
+            self.multiline = bool(inside[(data == ord("\n")) | (data == ord("\r"))].any())
+        self.open = bool(inside[-1])
+
+
+def _copy(archive: str, member: str, out_path: str) -> tuple[str, QuoteState | None]:
+    """Copies a member verbatim and notes its quotes on the way.
+
+    The name appears only when the file is complete, so a lost or repeated task
+    leaves nothing half-written.
+    """
     target, out = resolve(out_path)
     if target.get_file_info(out).is_file:
-        return "exists"
+        return "exists", None
+    quotes = QuoteState()
     part = f"{out}.{uuid.uuid4().hex}.part"
     source, inner = resolve(archive)
     try:
         with source.open_input_file(inner) as raw, zipfile.ZipFile(raw) as opened:
             with opened.open(member) as src, target.open_output_stream(part) as dst:
-                shutil.copyfileobj(src, dst, CHUNK)
+                while chunk := src.read(CHUNK):
+                    quotes.feed(chunk)
+                    dst.write(chunk)
     except DAMAGE:
         target.delete_file(part)
         raise
     target.move(part, out)
-    return "extracted"
+    return "extracted", quotes
 
 
 def extract(archives: DataFrame, target: str) -> DataFrame:
-    """``archive, member, out_path, bytes, status, error`` after extracting every member.
+    """``archive, member, out_path, bytes, status, error, multiline, unterminated`` after
+    extracting every member.
 
     One task per member rather than per archive. Running the result does the
     work: store it once instead of reading it twice. A member extracted before
-    is ``exists``, an unreadable archive ``corrupt``.
+    is ``exists``, an unreadable archive ``corrupt``. The last two columns tell whether a
+    quoted value spans lines or never ends, so loading needs no pass to find out.
     """
     listed = members(archives)
     return _copied(with_targets(listed, target), target).unionByName(_unread(listed, ~F.col("valid"), "corrupt"))
@@ -136,6 +165,7 @@ def _unread(listed: DataFrame, which: Column, status: str) -> DataFrame:
     return listed.where(which).select(
         "archive", "member", F.lit(None).cast("string").alias("out_path"), "bytes",
         F.lit(status).alias("status"), "error",
+        F.lit(None).cast("boolean").alias("multiline"), F.lit(None).cast("boolean").alias("unterminated"),
     )
 
 

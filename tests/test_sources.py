@@ -136,6 +136,33 @@ def test_undecodable_bytes_are_replaced(spark, tmp_path):
         assert row["descricao"] == "S\ufffdO"
 
 
+@pytest.mark.parametrize("size", [1, 3, 1000])
+@pytest.mark.parametrize("text, multiline, never_ends", [
+    ('"a";"b"\n"c""d";"e"\n', False, False),
+    ('"a\nb"\n', True, False), ('"a\rb"', True, False), ('"a"\n"b', False, True), ("", False, False), ('"x\n', True, True),
+])
+def test_quote_state(text, multiline, never_ends, size):
+    state = archives.QuoteState()
+    for i in range(0, len(text), size):
+        state.feed(text[i:i + size].encode())
+    assert (state.multiline, state.open) == (multiline, never_ends)
+
+
+def test_load_takes_the_manifest_at_its_word(spark, tmp_path):
+    (tmp_path / "zip").mkdir()
+    for name, text in {"a": '"01";"two\nlines"\n"02";"x"\n', "b": '"03";"never\n', "c": '"04";"y"\n'}.items():
+        with zipfile.ZipFile(tmp_path / "zip" / f"{name}.zip", "w") as z:
+            z.writestr("MOTICCSV", text)
+    manifest = archives.expand(spark, str(tmp_path / "zip"), str(tmp_path / "csv"), str(tmp_path / "m"))
+    flags = {r["archive"][-5:]: (r["multiline"], r["unterminated"]) for r in manifest.collect()}
+    assert flags == {"a.zip": (True, False), "b.zip": (True, True), "c.zip": (False, False)}
+    again = archives.expand(spark, str(tmp_path / "zip"), str(tmp_path / "csv"), str(tmp_path / "m2"))
+    for known in (manifest, again, None):  # the second knows nothing, as all members existed
+        staged = ingest.load(spark, str(tmp_path / "csv"), str(tmp_path / "staging"), database="told", manifest=known)
+        assert [r["status"] for r in staged.report.collect()] == ["ok", "failed", "ok"]
+        assert {r["descricao"] for r in staged.tables["motivo"].collect()} == {"two\nlines", "x", "y"}
+
+
 def test_unterminated_file_fails_alone(spark, tmp_path):
     folder = tmp_path / "csv"
     folder.mkdir()
