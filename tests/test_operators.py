@@ -196,6 +196,7 @@ def test_percentile_of_any_amount(spark, q):
         "one": [Decimal("5.00")],
         "small": [Decimal(rng.randrange(1000)) / 100 for _ in range(200)],
         "signed": [Decimal(rng.randrange(-10**6, 10**6)) / 100 for _ in range(101)],
+        "ends": [Decimal("-999999999999999999.99"), Decimal("-0.01"), Decimal("0.00"), Decimal("999999999999999999.99")],
         "wide": [Decimal(rng.randrange(10 ** rng.randrange(1, 17))) / 100 for _ in range(300)],
     }
     hist = [(g, v, n) for g, vs in values.items() for v, n in Counter(vs).items()]
