@@ -25,4 +25,5 @@ def test_entry(spark):
     import __spark_entry__ as contract
 
     assert contract.entry(spark).columns == ["uf", "qty"]
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert registered.QUERIES.keys() <= contract.queries().keys()
+    assert registered.ORACLES.keys() <= contract.oracle_sql().keys() <= contract.queries().keys()
