@@ -86,3 +86,9 @@ def running(df: DataFrame, group: str, bucket: Column, order: list[str], value:
         .withColumn(name, F.col("_in") + F.col("_off"))
         .drop("_v", "_b", "_in", "_off")
     )
+
+
+def without(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """``docs`` less the documents whose verdict is not ``kept``; rows without an id stay."""
+    gone = verdicts.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import without
+
 KEY = ["digest", "n_bytes", "check"]
 
 
@@ -68,6 +70,11 @@ def exact_dedup(docs: DataFrame, keep: str = "max", levels: int = 2, bits: int =
     )
 
 
+def deduplicated(docs: DataFrame, keep: str = "max") -> DataFrame:
+    """``docs`` with one document of each group of equal texts; columns as they are."""
+    return without(docs, exact_dedup(docs, keep))
+
+
 ORACLE = """
 select doc_id, max(doc_id) over (partition by coalesce(text, '')) as keep_id,
        count(*) over (partition by coalesce(text, '')) as group_size,

@@ -72,13 +72,14 @@ def schedule(plan: DataFrame, slots: int) -> DataFrame:
     return running(found, "source_key", bucket, ["slot"], F.lit(1), "rank")
 
 
-def _pieces(docs: DataFrame, block: int, seed: str, total_share: float, most: int) -> DataFrame:
+def _pieces(docs: DataFrame, block: int, seed: str, total_share: float, most: int, row: str | None = None) -> DataFrame:
     """The mix's pieces, and a row with a null slot for every document it takes nothing of."""
     lean = stored(
         docs.select(
             "doc_id", source_key(F.col("source")).alias("source_key"),
             shuffle_key(seed, F.col("doc_id")).alias("mix"), word_count(F.col("text")).alias("size"),
-        ).withColumn("row", F.monotonically_increasing_id()),
+            (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
+        ),
         "mix-rows",
     )
     sizes = lean.groupBy("source_key").agg(F.sum("size").alias("source_size"))
@@ -140,6 +141,27 @@ def mix_digest(docs: DataFrame, block: int = 1024, seed: str = "mix", total_shar
     )
 
 
+def mixed_documents(docs: DataFrame, block: int = 1024, seed: str = "mix", total_share: float = 1.5, most: int = 2) -> DataFrame:
+    """The mix as documents: a row for each pass that takes words of one; columns as they are.
+
+    Documents that the mix does not take are absent. The one at the end of a source's target is
+    cut after the words taken (and ``n_chars``, if there is one, is counted again).
+    """
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-documents")
+    taken = (
+        _pieces(rows, block, seed, total_share, most, "_row").where("slot is not null")
+        .groupBy(F.col("row").alias("_row"), "pass").agg(F.sum("length").alias("_words"), F.max("size").alias("_size"))
+        .drop("pass")
+    )
+    cut = F.expr(r"array_join(slice(split(text, '(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])'), 1, cast(_words as int)), '')")
+    partial = F.col("_words") < F.col("_size")
+    out = rows.join(taken, "_row").withColumn("text", F.when(partial, cut).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(partial, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
 ORACLE = r"""
 with d as (
     select doc_id, case when source is null then '1' else '0' || source end as k,
