@@ -154,17 +154,49 @@ def _likely(sizes: np.ndarray, tokens: np.ndarray, i: int, others: np.ndarray) -
     return others[(tokens[others] == tokens[i]).sum(axis=1) >= LIKELY]
 
 
-def _small_nodes(frame: pd.DataFrame) -> pd.DataFrame:
-    """Every pair of a small node is compared by its tokens; sets that may be linked become a star."""
-    frame = frame.drop_duplicates("set_id").sort_values("set_id")
-    sizes, ids = frame["n"].to_numpy(), frame["set_id"].tolist()
-    tokens = np.frombuffer(b"".join(frame["tokens"]), dtype=np.uint32).reshape(len(ids), COORDINATES)
-    parts = Parts(len(ids))
-    for i in range(len(ids) - 1):
-        for j in _likely(sizes, tokens, i, parts.apart(i)):
-            parts.join(i, j)
-    pairs = [(ids[t], ids[i]) for i, t in enumerate(parts.of) if t != i]
-    return pd.DataFrame({"a": [p[0] for p in pairs], "b": [p[1] for p in pairs]})
+def _compared(node: np.ndarray, sizes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """For rows sorted by node: the first row of the part of its node that each row may be linked with.
+
+    All rows are compared with the row ``gap`` places further on at once, gap by gap, as long as
+    some node reaches that far; pairs that are connected already are passed over.
+    """
+    parts = Parts(len(node))
+    for gap in range(1, len(node)):
+        i = np.flatnonzero(node[:-gap] == node[gap:])
+        if not len(i):
+            break
+        i = i[parts.of[i] != parts.of[i + gap]]
+        a, b = sizes[i], sizes[i + gap]
+        i = i[4 * np.minimum(a, b) >= 3 * np.maximum(a, b)]
+        for at in i[(tokens[i] == tokens[i + gap]).sum(axis=1) >= LIKELY].tolist():
+            begin, end = np.searchsorted(node, node[at], side="left"), np.searchsorted(node, node[at], side="right")
+            own = parts.of[begin:end]
+            low, high = sorted((parts.of[at], parts.of[at + gap]))
+            own[own == high] = low
+    return parts.of
+
+
+def _small_nodes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Every pair of a small node is compared by its tokens; sets that may be linked become a star.
+
+    Frames are sorted by node; the last node of one may go on in the next.
+    """
+
+    def stars(frame: pd.DataFrame) -> pd.DataFrame:
+        tokens = np.frombuffer(b"".join(frame["tokens"]), dtype=np.uint32).reshape(len(frame), COORDINATES)
+        first = _compared(frame["node"].to_numpy(), frame["n"].to_numpy(), tokens)
+        more, ids = np.flatnonzero(first != np.arange(len(frame))), frame["set_id"].to_numpy()
+        return pd.DataFrame({"a": ids[first[more]], "b": ids[more]})
+
+    rest = None
+    for frame in frames:
+        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        last = frame["node"].to_numpy() == frame["node"].iloc[-1]
+        rest = frame[last].reset_index(drop=True)
+        if not last.all():
+            yield stars(frame[~last].reset_index(drop=True))
+    if rest is not None:
+        yield stars(rest)
 
 
 def linked(x: np.ndarray, y: np.ndarray) -> bool:
@@ -220,7 +252,8 @@ def candidate_links(sets: DataFrame) -> DataFrame:
         full = stored(paths.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("set_id").alias("head")).where("size > 1"), "nodes")
         temporary.append(full)
         small = paths.join(full.where(F.col("size") <= SMALL_NODE), "node").select("node", "set_id").join(lean, "set_id")
-        found.append(stored(small.groupBy("node").applyInPandas(_small_nodes, PAIR), "near-links"))
+        found.append(stored(
+            small.repartition("node").sortWithinPartitions("node", "set_id").mapInPandas(_small_nodes, PAIR), "near-links"))
         large = full.where(F.col("size") > SMALL_NODE)
         if large.isEmpty():
             break

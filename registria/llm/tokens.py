@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import functools
+import json
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import tiktoken
 from tokenizers import Tokenizer
 
 # Python's \s holds all Unicode white space (and four control characters more).
@@ -36,12 +39,49 @@ def units(text: str) -> list[str]:
     return GAP.split(text) if RAGGED.search(text) else text.split(" ")
 
 
+# The pattern of byte-level pre-tokenizers.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+@functools.lru_cache(maxsize=4)
+def ranked(path: str) -> tiktoken.Encoding | None:
+    """The same vocabulary for the faster merging by ranks, or None unless that gives the same ids.
+
+    Merging the pair whose result has the smallest id is the same as taking merges in the
+    order of the file if ids follow that order; nothing else may touch the text.
+    """
+    with open(path, encoding="utf-8") as file:
+        stated = json.load(file)
+    model, before = stated["model"], stated["pre_tokenizer"] or {}
+    vocabulary = model.get("vocab") or {}
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges") or []]
+    merged = [vocabulary.get("".join(p), -1) for p in pairs]
+    plain = (
+        model.get("type") == "BPE" and not stated["normalizer"] and before.get("type") == "ByteLevel"
+        and before.get("use_regex") and not before.get("add_prefix_space") and not stated["post_processor"]
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+        and all(a < b for a, b in zip(merged, merged[1:]))
+    )
+    if not plain:
+        return None
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    hidden = [b for b in range(256) if b not in shown]
+    as_byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    added = {t["content"] for t in stated["added_tokens"]}
+    ranks = {bytes(as_byte[c] for c in word): i for word, i in vocabulary.items() if word not in added}
+    if len(ranks) != len(merged) + 256 or max(ranks[bytes([b])] for b in range(256)) > min(merged):
+        return None
+    return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Encoder:
     """Ids of units by the tokenizer; what was encoded is remembered, up to a fixed number of units."""
 
     def __init__(self, path: str, width: str = "<u2"):
         self.tokenizer = load(path)
-        self.width = width
+        self.ranked = ranked(path)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.width, self.code = width, "H" if width == "<u2" else "I"
         self.memo: dict[str, bytes] = {}
 
     def pieces(self, text: str, leading: bool = False) -> list[bytes]:
@@ -62,8 +102,17 @@ class Encoder:
         return first + [got.get(w) or self.memo[w] for w in rest]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.width).tobytes() for e in done]
+        if self.ranked is None:
+            done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [np.array(e.ids, dtype=self.width).tobytes() for e in done]
+        out = []
+        for text in texts:
+            if any(a in text for a in self.added):
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            else:
+                ids = self.ranked.encode_ordinary(text)
+            out.append(struct.pack(f"<{len(ids)}{self.code}", *ids))
+        return out
 
     def inside(self, unit: str) -> tuple[list[int], list[int]]:
         """Starts of the pre-tokens inside a unit and the number of ids of each."""
