@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dedup_tree, mixing, near_paths, packing, sharding, token_counts, toxicity
+from . import dedup_tree, language_crf, mixing, near_paths, packing, sharding, token_counts, topk_blocks, toxicity
 
 BPE = "byte_bpe_50k.json"
 
@@ -18,6 +18,10 @@ def op2_digest_tree_dedup(spark, sf_dir):
     return dedup_tree.exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op3_columnar_topk(spark, sf_dir):
+    return topk_blocks.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 def op4_chosen_path_dedup(spark, sf_dir):
     return near_paths.near_dedup(table(spark, sf_dir, "documents"))
 
@@ -38,17 +42,22 @@ def op8_ratio_scaled_ngrams(spark, sf_dir):
     return toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_word_crf(spark, sf_dir):
+    return language_crf.language_digest(table(spark, sf_dir, "documents"))
+
+
 def op10_interleaved_shards(spark, sf_dir):
     return sharding.shard_digest(table(spark, sf_dir, "documents"), shards=24)
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_digest_tree_dedup, op4_chosen_path_dedup, op5_mixture_packing, op6_source_schedule, op7_spliced_counts,
-    op8_ratio_scaled_ngrams, op10_interleaved_shards,
+    op2_digest_tree_dedup, op3_columnar_topk, op4_chosen_path_dedup, op5_mixture_packing, op6_source_schedule, op7_spliced_counts,
+    op8_ratio_scaled_ngrams, op9_word_crf, op10_interleaved_shards,
 )}
 
 ORACLES = {
     "op2_digest_tree_dedup": dedup_tree.ORACLE,
+    "op3_columnar_topk": topk_blocks.ORACLE,
     "op4_chosen_path_dedup": near_paths.ORACLE,
     "op6_source_schedule": mixing.ORACLE,
 }
