@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dedup_tree, language_crf, mixing, near_paths, packing, sharding, token_counts, topk_blocks, toxicity
+from . import dedup_tree, language_crf, mixing, near_paths, packing, secret_forest, sharding, token_counts, topk_blocks, toxicity
 
 BPE = "byte_bpe_50k.json"
 
@@ -14,6 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_forest(spark, sf_dir):
+    return secret_forest.secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op2_digest_tree_dedup(spark, sf_dir):
     return dedup_tree.exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
@@ -51,7 +55,7 @@ def op10_interleaved_shards(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_digest_tree_dedup, op3_columnar_topk, op4_chosen_path_dedup, op5_mixture_packing, op6_source_schedule, op7_spliced_counts,
+    op1_secret_forest, op2_digest_tree_dedup, op3_columnar_topk, op4_chosen_path_dedup, op5_mixture_packing, op6_source_schedule, op7_spliced_counts,
     op8_ratio_scaled_ngrams, op9_word_crf, op10_interleaved_shards,
 )}
 
