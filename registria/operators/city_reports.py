@@ -52,9 +52,11 @@ def city_row_number(fact: DataFrame, municipio: DataFrame, start: Day, end: Day)
 
 
 def top5_concentration(
-    fact: DataFrame, municipio: DataFrame, start: Day, end: Day, ufs: Sequence[str] | None = None
-) -> DataFrame:
-    """``uf, top5, total, top5_pct``: share of the five largest named cities of a state."""
+    fact: DataFrame, municipio: DataFrame | None, start: Day, end: Day, ufs: Sequence[str] | None = None
+) -> DataFrame | None:
+    """``uf, top5, total, top5_pct``: share of the five largest named cities of a state; None without cities."""
+    if municipio is None:
+        return None
     cities = city_counts(fact, municipio, ufs, start, end, trimmed=False)
     top = top_per_group(cities, "uf", [F.desc("qty"), F.col("municipio")], 5)
     top5 = top.groupBy("uf").agg(F.sum("qty").alias("top5"))

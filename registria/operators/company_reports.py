@@ -57,9 +57,11 @@ def top_naturezas(
 
 
 def enterprise_profile(
-    fact: DataFrame, empresas: DataFrame, simples: DataFrame | None, uf: str, start: Day, end: Day
-) -> DataFrame:
-    """One row ``n_emp, n_mei, avg_cap_raw, micro, small, medium, large`` for a state."""
+    fact: DataFrame, empresas: DataFrame | None, simples: DataFrame | None, uf: str, start: Day, end: Day
+) -> DataFrame | None:
+    """One row ``n_emp, n_mei, avg_cap_raw, micro, small, medium, large`` for a state; None without companies."""
+    if empresas is None:
+        return None
     capital, bucket = clean.parse_capital("capital_social"), clean.size_bucket("porte_empresa")
     sizes = list(clean.SIZE_CODES)
     master = empresas.groupBy(KEY).agg(

@@ -8,6 +8,8 @@ the digit that holds the rank. No window sees more than ten million rows.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BASE = 10_000_000
@@ -32,7 +34,10 @@ def weighted_percentile(hist: DataFrame, group: str, value: str, weight: str, q:
     counts = hist.select(
         F.col(group), F.col(weight).cast(RANK).alias("_w"), d1.alias("_d1"), d2.alias("_d2"), d3.alias("_d3")
     )
-    position = (F.col("rows") - 1) * F.lit(q).cast("decimal(5,4)")
+    share = Decimal(q)
+    if not 0 <= share <= 1 or share != round(share, 10):
+        raise ValueError("q must lie between 0 and 1 and have ten decimal places at most")
+    position = (F.col("rows") - 1).cast("decimal(26,0)") * F.lit(share).cast("decimal(11,10)")
     wanted = F.explode(F.array(
         F.struct(F.lit("lo").alias("at"), F.floor(position).cast(RANK).alias("rank")),
         F.struct(F.lit("hi").alias("at"), F.ceil(position).cast(RANK).alias("rank")),

@@ -30,14 +30,15 @@ def uf_stock(fact: DataFrame, start: Day, end: Day) -> DataFrame:
 
 
 def openings_by_year(
-    fact: DataFrame, ufs: Sequence[str] | None, start: Day, end: Day, years_limit: int = 30
+    fact: DataFrame, ufs: Sequence[str] | None, start: Day, end: Day, years_limit: int | None = None
 ) -> DataFrame:
-    """``year, openings``, oldest first; the limit keeps the oldest years."""
-    return (
+    """``year, openings``, oldest first; a limit keeps the oldest years."""
+    years = (
         scoped(fact, ufs, start, end)
         .groupBy(F.year("dt").alias("year")).agg(rows("openings"))
-        .orderBy("year").limit(max(1, years_limit))
+        .orderBy("year")
     )
+    return years if years_limit is None else years.limit(max(1, years_limit))
 
 
 def openings_last_12mo(fact: DataFrame, uf: str, end: Day) -> DataFrame:

@@ -11,8 +11,11 @@ FACT = "estabelecimento"
 STAGED = "temp_"
 
 
-def _databases(spark: SparkSession) -> list[str]:
-    return sorted(db.name for db in spark.catalog.listDatabases())
+def _databases(spark: SparkSession, first: Sequence[str] = ()) -> list[str]:
+    """All databases: those named ``first`` in that order, then the others by name."""
+    known = sorted(db.name for db in spark.catalog.listDatabases())
+    wanted = [db for db in dict.fromkeys(first) if db in known]
+    return wanted + [db for db in known if db not in wanted]
 
 
 def _has_rows(spark: SparkSession, table: str) -> bool:
@@ -22,25 +25,28 @@ def _has_rows(spark: SparkSession, table: str) -> bool:
         return False
 
 
-def first_table(spark: SparkSession, names: Sequence[str]) -> str | None:
-    """First of ``names``, over all databases, that exists and has a row."""
-    candidates = [f"{db}.{name}" for name in names for db in _databases(spark)]
+def first_table(spark: SparkSession, names: Sequence[str], databases: Sequence[str] = ()) -> str | None:
+    """First of ``names``, over all databases, that exists and has a row; a name comes before a database."""
+    candidates = [f"{db}.{name}" for name in names for db in _databases(spark, databases)]
     return next((t for t in candidates if _has_rows(spark, t)), None)
 
 
-def fact_candidates(spark: SparkSession) -> list[str]:
-    """Published facts, staged facts, then any table with a like name; no repeats."""
-    databases = _databases(spark)
+def fact_candidates(spark: SparkSession, first: Sequence[str] = ()) -> list[str]:
+    """Published facts, staged facts, then any table with a like name; the first mention of a table counts."""
+    databases = _databases(spark, first)
     named = [f"{db}.{FACT}" for db in databases] + [f"{db}.{STAGED}{FACT}" for db in databases]
     found = sorted(
         f"{db}.{t.name}" for db in databases for t in spark.catalog.listTables(db)
         if not t.isTemporary and "estabele" in t.name.lower()
     )
-    return list({t.lower(): t for t in reversed(named + found)}.values())[::-1]
+    places: dict[str, str] = {}
+    for table in named + found:
+        places.setdefault(table.lower(), table)
+    return list(places.values())
 
 
-def fact_table(spark: SparkSession) -> str | None:
-    return next((t for t in fact_candidates(spark) if _has_rows(spark, t)), None)
+def fact_table(spark: SparkSession, databases: Sequence[str] = ()) -> str | None:
+    return next((t for t in fact_candidates(spark, databases) if _has_rows(spark, t)), None)
 
 
 @dataclass
@@ -54,10 +60,12 @@ class Registry:
     municipio: DataFrame | None
 
     @classmethod
-    def find(cls, spark: SparkSession) -> Registry:
+    def find(cls, spark: SparkSession, databases: Sequence[str] = ()) -> Registry:
+        """Tables of ``databases`` are preferred, in that order, among those of one kind."""
+
         def table(name: str | None) -> DataFrame | None:
             return spark.table(name) if name else None
 
         dims = ("empresas", "simples", "natureza_juridica", "municipio")
-        found = {d: table(first_table(spark, [d, STAGED + d])) for d in dims}
-        return cls(fact=table(fact_table(spark)), **found)
+        found = {d: table(first_table(spark, [d, STAGED + d], databases)) for d in dims}
+        return cls(fact=table(fact_table(spark, databases)), **found)

@@ -13,7 +13,7 @@ from ..functions.clean import strip_nul
 from .files import literal, resolve, spread
 from .layouts import DATE_COLUMNS, LAYOUTS, text_schema
 
-PROBE_BYTES = 128 * 1024
+CHUNK_BYTES = 1 << 20
 CORRUPT = "_malformed"
 SOURCE = "source_file"
 # Marks a quoted blank while reading, to tell it from an absent value. No file
@@ -21,18 +21,20 @@ SOURCE = "source_file"
 QUOTED_BLANK = "\u0001"
 
 
-def detect_encoding(head: bytes, whole: bool = False) -> str:
-    """``utf-8-sig``, ``utf-8`` or ``latin-1`` from the first bytes of a file.
+def detect_encoding(chunks: Iterator[bytes]) -> str:
+    """``utf-8-sig``, ``utf-8`` or ``latin-1`` from all bytes of a file, given chunk by chunk.
 
-    A character cut by the end of the probe does not count against UTF-8.
+    A character may straddle chunks. Reading ends at the first byte that is not UTF-8.
     """
-    if head.startswith(codecs.BOM_UTF8):
-        return "utf-8-sig"
+    decoder, marked, first = codecs.getincrementaldecoder("utf-8")("strict"), False, True
     try:
-        codecs.getincrementaldecoder("utf-8")("strict").decode(head, final=whole)
-        return "utf-8"
+        for chunk in chunks:
+            marked, first = marked or (first and chunk.startswith(codecs.BOM_UTF8)), False
+            decoder.decode(chunk)
+        decoder.decode(b"", final=True)
     except UnicodeDecodeError:
         return "latin-1"
+    return "utf-8-sig" if marked else "utf-8"
 
 
 def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -41,13 +43,12 @@ def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path in batch["path"]:
             system, inner = resolve(path)
             with system.open_input_stream(inner) as stream:
-                head = stream.read(PROBE_BYTES)
-            found.append(detect_encoding(head, whole=len(head) < PROBE_BYTES))
+                found.append(detect_encoding(iter(lambda: stream.read(CHUNK_BYTES), b"")))
         yield batch.assign(encoding=found)
 
 
 def encodings(files: DataFrame) -> DataFrame:
-    """``path, encoding`` from the head of each file; the rest is not read."""
+    """``path, encoding`` from all bytes of each file, a task per file and a megabyte at a time."""
     return spread(files.select("path")).mapInPandas(_probe, "path string, encoding string")
 
 

@@ -8,13 +8,21 @@ from ..operators.joins import anti_join
 from ..operators.sets import first_per_group
 from .layouts import family_of
 
-HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+COMMENT = r"(?s)<!--.*?-->"
+VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>"']+)"""
+# An anchor up to its first attribute named href; attributes before it are stepped over whole.
+ANCHOR = rf"""(?is)<a(?:\s+(?!href[\s=])[^\s=>"']+(?:\s*=\s*{VALUE})?)*\s+href\s*=\s*{VALUE}"""
+LAST = rf"""(?is)\shref\s*=\s*({VALUE})$"""
 
 
 def hrefs(pages: DataFrame, *keep: str) -> DataFrame:
     """``pos, href`` of every link of every page, with the page columns named in ``keep``."""
-    found = F.regexp_extract_all("html", F.lit(HREF), 1)
-    return pages.select(*keep, F.posexplode(found).alias("pos", "href")).where(F.col("href") != "")
+    anchors = F.regexp_extract_all(F.regexp_replace("html", COMMENT, ""), F.lit(ANCHOR), 0)
+    value = F.regexp_replace(F.regexp_extract("_anchor", LAST, 1), "^[\"']|[\"']$", "")
+    return (
+        pages.select(*keep, F.posexplode(anchors).alias("pos", "_anchor"))
+        .withColumn("href", F.replace(value, F.lit("&amp;"), F.lit("&"))).drop("_anchor").where(F.col("href") != "")
+    )
 
 
 def page_links(
@@ -39,7 +47,7 @@ def page_links(
 
 
 def newest_month_links(
-    pages: DataFrame, root: str, suffix: str = ".zip", max_links: int | None = 3
+    pages: DataFrame, root: str, suffix: str = ".zip", max_links: int | None = None
 ) -> DataFrame:
     """Links of the newest month among stored index pages (``page_id, url, html``).
 

@@ -90,6 +90,12 @@ def test_status_sums_to_range(registry):
     assert got["Active"] == sum((r[3] or "").zfill(2) == "02" for r in in_range(rows))
 
 
+def test_missing_dimensions_give_none(registry):
+    _, fact = registry
+    assert company_reports.enterprise_profile(fact, None, None, "SP", START, END) is None
+    assert city_reports.top5_concentration(fact, None, START, END) is None
+
+
 def test_years_limit_keeps_oldest(registry):
     _, fact = registry
     assert [y for y, _ in tuples(state_reports.openings_by_year(fact, None, "1990-01-01", "2030-01-01", 2))] == [1997, 1998]
@@ -189,7 +195,7 @@ def test_winsorized_capital(registry, masters):
         assert got[uf]["avg_cap_w"] == pytest.approx(np.minimum(values, p90).mean())
 
 
-@pytest.mark.parametrize("q", ["0.00", "0.50", "0.90", "1.00"])
+@pytest.mark.parametrize("q", ["0.99995", "0.00", "0.50", "0.90", "1.00"])
 def test_percentile_of_any_amount(spark, q):
     rng = random.Random(3)
     values = {

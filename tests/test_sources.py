@@ -30,26 +30,26 @@ def write(folder, name, text, encoding="utf-8"):
     return path
 
 
-@pytest.mark.parametrize("data, whole, want", [
-    ("ÃO".encode("latin-1"), True, "latin-1"),
-    ("ÃO".encode(), True, "utf-8"),
-    (b"\xef\xbb\xbfA", True, "utf-8-sig"),
-    (b"plain", True, "utf-8"),
-    (b"a" * 9 + "Ã".encode()[:1], False, "utf-8"),   # cut by the end of the probe
-    (b"a" * 9 + "Ã".encode()[:1], True, "latin-1"),  # the file really ends there
-    (b"", True, "utf-8"),
+@pytest.mark.parametrize("chunks, want", [
+    (["ÃO".encode("latin-1")], "latin-1"),
+    (["ÃO".encode()], "utf-8"),
+    ([b"\xef\xbb\xbfA"], "utf-8-sig"),
+    ([b"plain"], "utf-8"),
+    ([b"a" * 9 + "Ã".encode()[:1], "Ã".encode()[1:]], "utf-8"),  # straddles two chunks
+    ([b"a" * 9 + "Ã".encode()[:1]], "latin-1"),  # the file really ends there
+    ([], "utf-8"),
 ])
-def test_detect_encoding(data, whole, want):
-    assert delimited.detect_encoding(data, whole) == want
+def test_detect_encoding(chunks, want):
+    assert delimited.detect_encoding(iter(chunks)) == want
 
 
-def test_encodings_read_the_head_only(spark, tmp_path):
-    size = delimited.PROBE_BYTES
+def test_encodings_read_whole_files(spark, tmp_path):
+    size = delimited.CHUNK_BYTES
     write(tmp_path, "cut.csv", b"a" * (size - 1) + "Ã".encode() + b"b" * 50)
     write(tmp_path, "late.csv", b"a" * (size + 10) + b"\xff")
     write(tmp_path, "latin.csv", "SÃO", "latin-1")
     got = {r["path"].rsplit("/", 1)[1]: r["encoding"] for r in delimited.encodings(files.list_files(spark, str(tmp_path), ".csv")).collect()}
-    assert got == {"cut.csv": "utf-8", "late.csv": "utf-8", "latin.csv": "latin-1"}
+    assert got == {"cut.csv": "utf-8", "late.csv": "latin-1", "latin.csv": "latin-1"}
 
 
 @pytest.mark.parametrize("encoding, kind", [("latin-1", "latin-1"), ("utf-8", "utf-8"), ("utf-8-sig", "utf-8-sig")])
@@ -272,6 +272,14 @@ def test_ingest_end_to_end(spark, tmp_path):
     assert resolve.first_table(spark, ["nothing", "temp_empresas"]) == "staging.temp_empresas"
     names = resolve.fact_candidates(spark)
     assert len(names) == len({n.lower() for n in names}) and names[-1] != names[0]
+    for name in ("archive.estabelecimento_2019", "warehouse.estabelecimento"):  # before and after by name
+        spark.sql(f"create database if not exists {name.split('.')[0]}")
+        spark.table("curated.estabelecimento").limit(1).write.mode("overwrite").saveAsTable(name)
+    names = resolve.fact_candidates(spark)
+    assert names.index("warehouse.estabelecimento") < names.index("staging.temp_estabelecimento") < names.index("archive.estabelecimento_2019")
+    assert resolve.fact_table(spark, ["warehouse"]) == "warehouse.estabelecimento"
+    spark.sql("drop database archive cascade")
+    spark.sql("drop database warehouse cascade")
 
     # rejected rows clear the gate when asked to; nothing is published then
     _, report, done = run("r3", strict=True)
@@ -353,6 +361,11 @@ def test_links(spark):
     got = [r["link"] for r in links.page_links(pages, ".zip", "http://base/").orderBy("pos").collect()]
     assert got == ["http://base/a.ZIP", "http://h/b.zip"]
     assert links.page_links(pages, ".zip", max_links=1).count() == 1
+    odd = """<a data-href="x" href="1.zip"><a href=2.zip><a href="d'3.zip"><a title="a>b" href='4.zip'><!-- <a href="no.zip"> -->
+        <a\nhref = "5.zip?a=1&amp;b=.zip"><area href="no.zip"><a class hreflang="no.zip">"""
+    pages = spark.createDataFrame([(1, odd)], "page_id int, html string")
+    got = [r["link"] for r in links.page_links(pages, ".zip").orderBy("pos").collect()]
+    assert got == ["1.zip", "2.zip", "d'3.zip", "4.zip", "5.zip?a=1&b=.zip"]
     root = "http://h/data/"
     stored = spark.createDataFrame([
         (1, root, '<a href="202312/">a</a><a href="202403/">b</a><a href="../">c</a>'),
