@@ -1,0 +1,132 @@
+"""Classifiers on held-out rows, and the pipeline against what its stages promise."""
+
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from registria.llm import language_crf, queries, secret_forest, toxicity
+
+from .fixtures import no_docs, odd_docs, odd_rows, rows_of, save
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_toxicity_held_out(spark):
+    digest = toxicity.toxicity_digest(queries.table(spark, "/root/testdata/sf0.1", "documents").where("doc_id % 3 = 0"),
+                                      queries.table(spark, "/root/testdata/sf0.1", "labels"))
+    rows = rows_of(digest.where("held_out").join(queries.table(spark, "/root/testdata/sf0.1", "labels"), "doc_id"))
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
+    clean = [r["predicted"] for r in rows if r["toxic"] == 0]
+    toxic = [r["score"] for r in rows if r["toxic"] == 1]
+    assert np.mean(clean) < 0.02 and np.mean(toxic) > 0.4
+
+
+def test_toxicity_awkward_rows(spark):
+    labels = spark.createDataFrame([(i, i % 2, 1) for i in range(60)] + [(None, 1, 1), (3, None, 1)], "doc_id long, toxic int, quality int")
+    got = rows_of(toxicity.toxicity_digest(odd_docs(spark), labels))
+    assert len(got) == len(odd_rows())
+    for r in got:
+        assert r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+    assert toxicity.toxicity_digest(no_docs(spark), labels).count() == 0
+    assert {r["predicted"] for r in rows_of(toxicity.toxicity_digest(odd_docs(spark), labels.limit(0)))} == {0}
+
+
+def test_language_held_out(spark):
+    docs = queries.table(spark, SF, "documents")
+    rows = rows_of(queries.op9_word_crf(spark, SF).where("held_out").join(docs.select("doc_id", "lang"), "doc_id"))
+    assert np.mean([r["lang_pred"] == r["lang"] for r in rows]) > 0.95
+
+
+def test_language_awkward_rows(spark):
+    got = rows_of(language_crf.language_digest(odd_docs(spark)))
+    assert len(got) == len(odd_rows())
+    by = {r["doc_id"]: r for r in got}
+    assert by[100]["lang_pred"] == by[101]["lang_pred"] == by[102]["lang_pred"] == "und"
+    assert all(0 <= r["score"] <= 1 for r in got)
+    assert language_crf.language_digest(no_docs(spark)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_forward_backward(seed):
+    """Segments at once give what the plain recursion gives."""
+    rng = np.random.default_rng(seed)
+    counts = np.array([1, 5, 32, 33, 100, 64])
+    emissions, moves = rng.normal(size=(counts.sum(), 3)), np.exp(rng.normal(size=(3, 3)))
+    alpha, beta, _ = language_crf.forward_backward(emissions, moves, counts)
+    got, at = alpha * beta / (alpha * beta).sum(axis=1, keepdims=True), 0
+    for n in counts:
+        e = np.exp(emissions[at:at + n])
+        a, b = [e[0] / e[0].sum()], [np.ones(3)]
+        for t in range(1, n):
+            a.append((x := (a[-1] @ moves) * e[t]) / x.sum())
+            b.insert(0, (x := moves @ (e[n - t] * b[0])) / x.sum())
+        want = np.array(a) * np.array(b)
+        assert np.allclose(got[at:at + n], want / want.sum(axis=1, keepdims=True), atol=1e-6)
+        at += n
+
+
+def test_switching_text_is_labelled_by_word():
+    draw = random.Random(3)
+    first = [("aa", " ".join(draw.choice(["kilo", "mato", "sani", "tolu"]) for _ in range(12))) for _ in range(60)]
+    second = [("bb", " ".join(draw.choice(["schwer", "krieg", "zwist", "pfropf"]) for _ in range(12))) for _ in range(60)]
+    model = language_crf.train(first + second)
+    words = language_crf.words_of(["kilo mato sani schwer krieg zwist"])
+    best = model.marginals(words, np.array([6])).argmax(axis=1)
+    assert best.tolist() == [0, 0, 0, 1, 1, 1]
+    assert model.predict(["", "123", "kilo tolu"])[0] == ["und", "und", "aa"]
+
+
+def test_secrets(spark):
+    rows = rows_of(queries.op1_secret_forest(spark, SF))
+    sure = [r for r in rows if r["label"] is not None]
+    assert np.mean([r["predicted"] == r["label"] for r in sure]) > 0.95
+    held = [r for r in sure if r["held_out"]]
+    assert held and np.mean([r["predicted"] == r["label"] for r in held]) > 0.9
+    texts = {r["doc_id"]: r["text"] for r in rows_of(queries.table(spark, SF, "documents"))}
+    keys = sum(len(re.findall(r"(?<!\S)AKIA[0-9A-Z]{16}(?!\S)", t)) for t in texts.values())
+    assert sum(r["predicted"] for r in rows if r["candidate"].startswith("AKIA")) == keys
+    for r in rows:
+        assert r["candidate"] in texts[r["doc_id"]]
+
+
+def test_secrets_awkward_rows(spark):
+    docs = odd_docs(spark).union(spark.createDataFrame(
+        [(500, "the key password=abc123def456ghi7 and " + "9" * 60000, None, None, 1, 1, 1, True, "n")], odd_docs(spark).schema))
+    got = rows_of(secret_forest.secret_scan(docs))
+    assert {r["candidate"] for r in got if r["doc_id"] == 500} == {"abc123def456ghi7", "9" * 60000}
+    assert secret_forest.secret_scan(no_docs(spark)).count() == 0
+
+
+def test_pipeline(spark, tmp_path):
+    docs = queries.table(spark, SF, "documents").where("doc_id < 300")
+    folder = save(docs, tmp_path)
+    queries.table(spark, SF, "labels").write.parquet(f"{folder}/labels.parquet")
+    at, kept = docs, []
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, at, folder).write.parquet(f"{folder}/{name.replace(' ', '-')}")
+        at = spark.read.parquet(f"{folder}/{name.replace(' ', '-')}")
+        kept.append(at)
+    plain, unique, apart, mixed, pieces = kept
+    assert all(k.columns == docs.columns for k in kept[:-1])
+    labels = {r["doc_id"]: r["toxic"] for r in rows_of(queries.table(spark, SF, "labels"))}
+    stayed = {r["doc_id"]: r["text"] for r in rows_of(plain)}
+    assert sum(labels.get(r["doc_id"]) == 0 and r["doc_id"] not in stayed for r in rows_of(docs)) <= 3
+    best = {}
+    for d, t in stayed.items():
+        best[t] = max(d, best.get(t, d))
+    assert {r["doc_id"] for r in rows_of(unique)} == set(best.values())
+    from .test_pair_operators import brute
+    parts = brute([(r["doc_id"], r["text"]) for r in rows_of(unique)])
+    assert {r["doc_id"] for r in rows_of(apart)} == {d for d, (_, _, k) in parts.items() if k}
+
+    def size(frame) -> int:
+        return sum(len(re.findall(r"[^\x20\x09-\x0D]+", r["text"])) for r in rows_of(frame))
+
+    assert abs(size(mixed) - 1.5 * size(apart)) <= 25
+    assert mixed.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 2
+    assert pieces.agg(F.sum("length")).first()[0] == sum(r["doc_tokens"] for r in rows_of(pieces.where("start = 0")))
