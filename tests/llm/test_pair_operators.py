@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from registria.llm import near_paths, topk_blocks
+from registria.llm.components import components
 
 from .fixtures import no_docs, odd_docs, odd_rows, rows_of
 
@@ -97,3 +98,16 @@ def test_top_k(spark, monkeypatch):
         want |= {(q, n + 1): (i, int(scores[i])) for n, i in enumerate(order)}
     assert got == want
     assert topk_blocks.top_k(table.limit(0)).count() == 0
+
+
+def test_components_of_chains_and_stars(spark):
+    rng = random.Random(5)
+    links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(200)] + [(7, 7), (5000, 5000), (1001, 1000)]
+    links += [(2000 + rng.randrange(200), 2000 + rng.randrange(200)) for _ in range(120)]
+    part: dict[int, int] = {}
+    for a, b in links:
+        if a != b:
+            low, high = sorted((part.setdefault(a, a), part.setdefault(b, b)))
+            part = {x: low if y == high else y for x, y in part.items()}
+    assert dict(components(spark.createDataFrame(links, "a long, b long")).collect()) == part
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
