@@ -112,7 +112,7 @@ def _hashed(values: np.ndarray, *parts: int) -> np.ndarray:
 
 
 def _branch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Children of nodes: (node, set_id, tokens) to (node, set_id). A null node is above all roots.
+    """Children of nodes: (node, size, set_id, tokens) to (node, parent's size, set_id). A null node is above all roots.
 
     A node draws the coordinates it branches on from its own number, so all its sets
     branch alike, and a child is the node, the coordinate and the token there.
@@ -128,7 +128,7 @@ def _branch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for k in range(paths):  # distinct coordinates, as the step is odd
                 at = ((begin + np.uint64(k) * step) % np.uint64(COORDINATES)).astype(np.int64)
                 child = _hashed(parent + tokens[np.arange(len(frame)), at].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), 17 + k)
-                yield pd.DataFrame({"node": child.view(np.int64), "set_id": frame["set_id"]})
+                yield pd.DataFrame({"node": child.view(np.int64), "above": frame["size"].astype("Int64"), "set_id": frame["set_id"]})
 
 
 class Parts:
@@ -240,28 +240,32 @@ def candidate_links(sets: DataFrame) -> DataFrame:
     of two or more sets, up to ``SMALL_NODE``, is compared exhaustively in one task; a larger one branches
     again on ``NODE_PATHS`` coordinates. Two sets of similarity 0.75 part at a root path with
     probability 0.25, and at a large node's with (0.25 + 0.75 m) ** 4 = m, about 0.004; all twelve
-    root paths miss them with less than one in ten million. Sets that share ``DEPTH`` tokens in turn and
-    still fill a large node become one cluster (a star of links), which costs checks but loses nothing.
+    root paths miss them with less than one in ten million. A large node that keeps three quarters or
+    more of its parent's sets is not told apart by branching, as a group of near copies is not: it becomes
+    one cluster (a star of links), which costs checks but loses nothing. So does one still large at ``DEPTH``.
     """
     spark = sets.sparkSession
     lean = sets.select("set_id", "n", "tokens")
-    found, level, temporary = [], lean.select(F.lit(None).cast("long").alias("node"), "set_id", "tokens"), []
+    found, level, temporary = [], lean.select(*[F.lit(None).cast("long").alias(c) for c in ("node", "size")], "set_id", "tokens"), []
     for depth in range(1, DEPTH + 1):
-        paths = stored(level.mapInPandas(_branch, "node long, set_id binary"), "paths")
+        paths = stored(level.mapInPandas(_branch, "node long, above long, set_id binary"), "paths")
         temporary.append(paths)
-        full = stored(paths.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("set_id").alias("head")).where("size > 1"), "nodes")
+        dense = (F.lit(depth == DEPTH) | (4 * F.col("size") >= 3 * F.col("above"))) & (F.col("size") > SMALL_NODE)
+        full = stored(
+            paths.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("set_id").alias("head"), F.min("above").alias("above"))
+            .where("size > 1").select("node", "size", "head", F.coalesce(dense, F.lit(False)).alias("dense")),
+            "nodes",
+        )
         temporary.append(full)
-        small = paths.join(full.where(F.col("size") <= SMALL_NODE), "node").select("node", "set_id").join(lean, "set_id")
+        small = paths.drop("above").join(full.where(F.col("size") <= SMALL_NODE), "node").select("node", "set_id").join(lean, "set_id")
         found.append(stored(
             small.repartition("node").sortWithinPartitions("node", "set_id").mapInPandas(_small_nodes, PAIR), "near-links"))
-        large = full.where(F.col("size") > SMALL_NODE)
-        if large.isEmpty():
+        members = paths.drop("above").join(full.where(F.col("size") > SMALL_NODE), "node")
+        found.append(stored(
+            members.where("dense and set_id <> head").select(F.col("head").alias("a"), F.col("set_id").alias("b")).distinct(), "near-links"))
+        if full.where((F.col("size") > SMALL_NODE) & ~F.col("dense")).isEmpty():
             break
-        members = paths.join(large, "node")
-        if depth == DEPTH:
-            found.append(stored(members.where("set_id <> head").select(F.col("head").alias("a"), F.col("set_id").alias("b")), "near-links"))
-        else:
-            level = members.select("node", "set_id").join(lean.select("set_id", "tokens"), "set_id").select("node", "set_id", "tokens")
+        level = members.where("not dense").join(lean.select("set_id", "tokens"), "set_id").select("node", "size", "set_id", "tokens")
     for table in temporary:
         dropped(table)
     links = spark.createDataFrame([], PAIR)
