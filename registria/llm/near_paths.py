@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .common import dropped, stored, without
-from .components import components
+from .components import LEAST_TASKS, components
 from .toxicity import sliced
 
 WORDS = 5  # of a shingle
@@ -23,6 +23,7 @@ DEPTH = 4  # nodes still large after so many branchings are one cluster
 LIKELY = 32  # equal coordinates, of 64, from which a pair is worth checking
 CELL_SHINGLES = 2_000_000  # shingles of a cluster that one task compares
 ROW_SHINGLES = 200  # what a set counts besides its shingles
+ROWS_PER_TASK = 50_000  # paths, of a level of the trees
 
 _draw = np.random.default_rng(20240229)
 _BYTE = _draw.integers(0, 2**63, 256, dtype=np.uint64) * 2 + 1
@@ -250,19 +251,22 @@ def candidate_links(sets: DataFrame) -> DataFrame:
     for depth in range(1, DEPTH + 1):
         paths = stored(level.mapInPandas(_branch, "node long, above long, set_id binary"), "paths")
         temporary.append(paths)
+        tasks = max(LEAST_TASKS, -(-paths.count() // ROWS_PER_TASK))  # deep levels have few rows
         dense = (F.lit(depth == DEPTH) | (4 * F.col("size") >= 3 * F.col("above"))) & (F.col("size") > SMALL_NODE)
         full = stored(
             paths.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("set_id").alias("head"), F.min("above").alias("above"))
-            .where("size > 1").select("node", "size", "head", F.coalesce(dense, F.lit(False)).alias("dense")),
+            .where("size > 1").select("node", "size", "head", F.coalesce(dense, F.lit(False)).alias("dense"))
+            .coalesce(tasks),
             "nodes",
         )
         temporary.append(full)
         small = paths.drop("above").join(full.where(F.col("size") <= SMALL_NODE), "node").select("node", "set_id").join(lean, "set_id")
         found.append(stored(
-            small.repartition("node").sortWithinPartitions("node", "set_id").mapInPandas(_small_nodes, PAIR), "near-links"))
+            small.repartition("node").coalesce(tasks).sortWithinPartitions("node", "set_id").mapInPandas(_small_nodes, PAIR), "near-links"))
         members = paths.drop("above").join(full.where(F.col("size") > SMALL_NODE), "node")
         found.append(stored(
-            members.where("dense and set_id <> head").select(F.col("head").alias("a"), F.col("set_id").alias("b")).distinct(), "near-links"))
+            members.where("dense and set_id <> head").select(F.col("head").alias("a"), F.col("set_id").alias("b")).distinct().coalesce(tasks),
+            "near-links"))
         if full.where((F.col("size") > SMALL_NODE) & ~F.col("dense")).isEmpty():
             break
         level = members.where("not dense").join(lean.select("set_id", "tokens"), "set_id").select("node", "size", "set_id", "tokens")
