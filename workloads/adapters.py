@@ -25,12 +25,24 @@ def _ymd(col: str) -> str:
 
 DIRT = "(l_orderkey + l_linenumber)"
 
+# State codes.
+STATES = [
+    "RO", "AC", "AM", "RR", "PA", "AP", "TO", "MA", "PI", "CE", "RN", "PB", "PE", "AL", "SE", "BA",
+    "MT", "MS", "GO", "DF", "SP", "RJ", "ES", "MG", "PR", "SC", "RS",
+]
+
+
+def state_of(key: str) -> str:
+    """A state by the key's remainder; one remainder has none and gives a blank."""
+    cases = " ".join(f"when {i} then '{state}'" for i, state in enumerate(STATES))
+    return f"case {key} % {len(STATES) + 1} {cases} else '' end"
+
+
 UF_BASE: Columns = [
     *[(c, c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_linestatus", "l_returnflag", "l_quantity")],
     ("ymd", _ymd("l_shipdate")),
     ("iso", "cast(cast(l_shipdate as date) as string)"),
-    ("u", "trim(substring('ROACAMRRPAAPTOMAPICERNPBPEALSEBAMTMSGODFSPRJESMGPRSCRS  ',"
-          " cast(l_suppkey % 28 as int) * 2 + 1, 2))"),
+    ("u", state_of("l_suppkey")),
 ]
 
 ESTABELECIMENTO: Columns = [

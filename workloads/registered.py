@@ -512,8 +512,7 @@ def _(t):
     return joins.left_simples(scope.distinct_companies(t.fact, None, *RANGE), t.simples)
 
 
-SUPPLIER_STATE = ("trim(substring('ROACAMRRPAAPTOMAPICERNPBPEALSEBAMTMSGODFSPRJESMGPRSCRS  ',"
-                  " cast(s_suppkey % 28 as int) * 2 + 1, 2))")
+SUPPLIER_STATE = adapters.state_of("s_suppkey")
 
 
 @query("join_semi_selected", "stock", f"""
