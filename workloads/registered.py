@@ -83,16 +83,17 @@ def _money(col: str) -> str:
     return f"try_cast(nullif(replace({col}, ',', '.'), '') as decimal(20,2))"
 
 
-def _in(values: list[str]) -> str:
-    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
-
-
 FACT = f"""select *, {_prefix8('data_inicio_atividades')} as dt, upper(trim(uf)) as uf_norm,
   trim(municipio) as mun_code, coalesce(lpad(trim(situacao_cadastral), 2, '0'), '') as status2
 from estabelecimento"""
-REGIONS = "select * from (values " + ", ".join(
-    f"('{s}', '{r}')" for r, states in regions.REGION_STATES.items() for s in states
-) + ") v(uf, region)"
+# Fixed values, written out so that the SQL does not follow the package's own maps.
+REGIONS = """select * from (values
+  ('RO', 'N'), ('AC', 'N'), ('AM', 'N'), ('RR', 'N'), ('PA', 'N'), ('AP', 'N'), ('TO', 'N'),
+  ('MA', 'NE'), ('PI', 'NE'), ('CE', 'NE'), ('RN', 'NE'), ('PB', 'NE'), ('PE', 'NE'), ('AL', 'NE'), ('SE', 'NE'), ('BA', 'NE'),
+  ('MT', 'CO'), ('MS', 'CO'), ('GO', 'CO'), ('DF', 'CO'),
+  ('SP', 'SE'), ('RJ', 'SE'), ('ES', 'SE'), ('MG', 'SE'),
+  ('PR', 'S'), ('SC', 'S'), ('RS', 'S')) v(uf, region)"""
+COASTAL = """('AP', 'PA', 'MA', 'PI', 'CE', 'RN', 'PB', 'PE', 'AL', 'SE', 'BA', 'ES', 'RJ', 'SP', 'PR', 'SC', 'RS')"""
 
 VIEWS = {
     **adapters.ORACLE_TABLES,
@@ -259,7 +260,7 @@ def _(t):
 
 
 @query("coastal_flag", "fact", f"""
-select coalesce(upper(uf_norm) in {_in(regions.COASTAL_STATES)}, false) as coastal, count(*) as qty from fact group by 1""")
+select coalesce(upper(uf_norm) in {COASTAL}, false) as coastal, count(*) as qty from fact group by 1""")
 def _(t):
     return scope.prepare_fact(t.fact).groupBy(regions.is_coastal("uf_norm").alias("coastal")).agg(state_reports.rows())
 
@@ -702,8 +703,8 @@ def _(t):
 
 
 @query("coastal_inland", "stock", f"""
-select sum(case when uf in {_in(regions.COASTAL_STATES)} then qty else 0 end)::bigint as coastal,
-  sum(case when uf in {_in(regions.COASTAL_STATES)} then 0 else qty end)::bigint as inland from stock""")
+select sum(case when uf in {COASTAL} then qty else 0 end)::bigint as coastal,
+  sum(case when uf in {COASTAL} then 0 else qty end)::bigint as inland from stock""")
 def _(t):
     return state_reports.coastal_inland(t.stock)
 
@@ -745,7 +746,7 @@ def _(t):
 # ── products ────────────────────────────────────────────────────────────────
 
 STATE_TABLE = f"""
-select cast(dense_rank() over (order by qty desc) as int) as rank, uf, region, uf in {_in(regions.COASTAL_STATES)} as coastal, qty,
+select cast(dense_rank() over (order by qty desc) as int) as rank, uf, region, uf in {COASTAL} as coastal, qty,
   round_even(qty * 100.0::double / sum(qty) over (), 2)::double as share_percent, uf in ('SP', 'RJ', 'MG') as selected
 from stock left join regions using (uf)"""
 
