@@ -12,16 +12,29 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import source_key, stored
 from .toxicity import held_out
 
-# A candidate: a word's core of ten or more such characters, one of them a digit. Every pattern
-# is anchored and linear, as words may be very long.
-CORE = r"^[A-Za-z0-9+/_.@=-]{10,}$"
-NAMED = r"^([A-Za-z_]{2,24})[=:](.*)$"
 AROUND = "\"'`()[]{}<>,.;:!?%&$*|#~^\\"
 SPACE = r"[\x20\x09-\x0D]+"
 
 # What credentials are commonly called, and how common ones are written.
 NAMES = ["password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "access_key", "auth"]
 FORMATS = [r"^AKIA[0-9A-Z]{16}$", r"^gh[pousr]_[A-Za-z0-9]{36}$", r"^xox[abprs]-[A-Za-z0-9-]{10,}$", r"^sk_live_[A-Za-z0-9]{16,}$"]
+# Words may be very long, so every repeated group below is possessive or bounded and no pattern starts anew within a run.
+PREFIXES = r"AKIA|gh[pousr]_|xox[abprs]-|sk_live_"
+# What tells a run of ten or more characters from a plain word.
+TRIGGER = rf"[0-9]|[a-z][A-Z]|[A-Z]{{2}}[a-z]|{PREFIXES}"
+NARROW, WIDE = r"[A-Za-z0-9+_.~-]{10,}+", r"[A-Za-z0-9+/_.~-]{10,}+={0,2}"  # the second one also holds base64 with slashes
+INSIDE = r"(?<![A-Za-z0-9])(?:" + "|".join(f.strip("^$") for f in FORMATS) + ")"
+WITH_NAME = r"([A-Za-z_-]{2,24})[\"'`\])\\]{0,4}[=:][\"'`]?"
+EMAIL = rf"(?<![:=/A-Za-z0-9._%+-])(?!{PREFIXES})[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{{2,}}"
+USERINFO = r"://[^/\s:@\"']*+:([^/\s@\"']++)@"
+# A known name with what may close it, the sign after it, and its value: quoted, or up to white space, a quote or the next name.
+KNOWN = "(?:" + "|".join(n.replace("_", "[_-]?") for n in NAMES) + r")(?:[_-]?key|[0-9]{1,3})?"
+CLOSE, SIGN = r"[\"'`\])\\]{0,4}", r"(?::=|=>|==|[=:])"
+VALUE = (r"(?:\\++\"[^\"\\]*+|\"(?:[^\"\\]|\\.)*+\"|'(?:[^'\\]|\\.)*+'|`[^`]*+`"
+         r"|[\"'`]?(?:[^\s\"'`&,;]|[&,;](?![A-Za-z0-9_.-]{1,40}[\"'`]?[=:]))++)")
+ASSIGNED = rf"(?is){KNOWN}{CLOSE}{SIGN}{VALUE}"
+APART = rf"(?i)({KNOWN}{CLOSE})[\x20\x09-\x0D]*+({SIGN})[\x20\x09-\x0D]*+"
+BLANK, BETWEEN = "\uffff", "\x01"  # stand for a blank within a quoted value, and between a name and its candidate
 HARMLESS = [r"@", r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$", r"^[0-9. -]+$", r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
             r"^[0-9]{4}-[0-9]{2}-[0-9]{2}", r"\.(?:com|org|net|html?|png|jpg)(?:/|$)"]
 
@@ -29,31 +42,107 @@ FEATURES = ["n_chars", "digits", "upper", "lower", "symbols", "turns", "case_tur
             "left_odds", "name_odds", "right_odds", "path_odds", "path_test", "path_depth"]
 
 
+def _may_name(text: Column) -> Column:
+    """Whether the text may hold a known name and a sign; plain searches, as few texts do."""
+    low = F.lower(text)
+    hit = F.lit(False)
+    for stub in ("pass", "pwd", "secret", "token", "key", "auth"):
+        hit = hit | F.contains(low, F.lit(stub))
+    return (F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))) & hit
+
+
+def _joined(text: Column) -> Column:
+    """The text with every value of a known name in one word with it, blanks within its quotes included."""
+    joined = F.regexp_replace(text, APART, "$1$2")
+    for quote in "\"'":
+        begin = rf"(?i:{KNOWN}{CLOSE}{SIGN}){quote}(?=(?:[^{quote}\\\n]|\\[^\n])*+{quote})"
+        joined = F.regexp_replace(joined, rf"((?:{begin}|\G(?!^))(?:[^{quote}\\\s]|\\\S)*+)\x20", f"$1{BLANK}")
+    return F.when(_may_name(text), joined).otherwise(text)
+
+
+def _found(word: Column) -> tuple[Column, Column]:
+    """Of named and of other candidates (less the named ones in ``_named``): name, ``BETWEEN`` and candidate, distinct in a word."""
+
+    def runs(pattern: str, group: int = 0, of: Column = word) -> Column:
+        return F.regexp_extract_all(of, F.lit(pattern), F.lit(group))
+
+    def trimmed(x: Column) -> Column:
+        return F.btrim(x, F.lit(AROUND))
+
+    def likely(x: Column) -> Column:
+        return (F.length(x) >= 10) & x.rlike(TRIGGER)
+
+    def known(name: Column) -> Column:  # db-password2 is password, X-Api-Key and apiKey are api_key
+        short = F.regexp_extract(F.lower(name), rf"({KNOWN})$", 1)
+        short = F.regexp_replace(F.regexp_replace(short, "[0-9]+$", ""), "-", "_")
+        short = F.regexp_replace(F.regexp_replace(short, "^(api|access)_?key$", "$1_key"), "(?<!api|access|api_|access_)_?key$", "")
+        return F.when(short == "", F.lower(name)).otherwise(short)
+
+    def pair(name: Column, value: Column) -> Column:
+        return F.concat(name, F.lit(BETWEEN), value)
+
+    def value_of(m: Column) -> Column:  # without quotes; unquoted, without what closes a list or a sentence
+        v = F.regexp_replace(m, rf"(?i)^{KNOWN}{CLOSE}{SIGN}", "")
+        quoted = v.rlike("(?s)^([\"'`]).*\\1$") & (F.length(v) > 1)
+        bare = F.rtrim(F.regexp_replace(v, "^\\\\*[\"'`]", ""), F.lit(",;.)}]>\\"))
+        v = F.when(quoted, F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(bare)
+        return F.translate(v, BLANK, " ")
+
+    def only_if(condition: Column, found: Column) -> Column:
+        return F.when(condition, found).otherwise(F.array().cast("array<string>"))
+
+    assigned = F.transform(only_if(_may_name(word), runs(ASSIGNED)), lambda m: pair(known(F.regexp_extract(m, rf"(?i)^({KNOWN})", 1)), value_of(m)))
+    userinfo = F.transform(only_if(F.contains(word, F.lit("://")), runs(USERINFO, 1)), lambda v: pair(F.lit("userinfo"), v))
+    has_at = F.contains(word, F.lit("@"))
+    rest = F.when(has_at, F.regexp_replace(word, EMAIL, " ")).otherwise(word)
+    beside = F.filter(
+        F.transform(runs(WITH_NAME + NARROW, 0, rest), lambda m: pair(
+            known(F.regexp_extract(m, "^" + WITH_NAME, 1)), trimmed(F.regexp_replace(m, "^" + WITH_NAME, "")))),
+        lambda x: likely(F.substring_index(x, BETWEEN, -1)))
+    named = F.array_distinct(F.filter(F.concat(assigned, userinfo, beside), lambda x: ~F.endswith(x, F.lit(BETWEEN))))
+    wide = F.filter(runs(WIDE, 0, rest), lambda x: F.contains(x, F.lit("/")) | F.endswith(x, F.lit("=")))
+    plain = F.filter(F.transform(F.concat(runs(NARROW, 0, rest), wide, only_if(has_at, runs(EMAIL)), runs(INSIDE)), trimmed), likely)
+    others = F.array_except(plain, F.transform("_named", lambda x: F.substring_index(x, BETWEEN, -1)))
+    return named, F.transform(others, lambda x: pair(F.lit(""), x))
+
+
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
-    """Every candidate of every whole text with the words around it: one row each."""
-    words = F.split(F.col("text").cast("string"), SPACE)
-    spots = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: (F.length(F.get("_w", i)) >= 10) & F.get("_w", i).rlike("[0-9]"))
+    """Every candidate of every whole text with the words around it: one row for each distinct name and value of a word.
+
+    Candidates are the values of known names, of any length and characters; passwords in URLs; and every
+    run of ten or more credential characters that holds a digit, mixes cases or begins as a known format,
+    wherever it stands in a word. Runs end at quotes, commas, ``& ? : = @ /``; one with slashes counts
+    as a whole too. ``at`` counts a known name, its sign and its value as one word.
+    """
+    words = F.split(_joined(F.col("text").cast("string")), SPACE)
+
+    def worth(w: Column) -> Column:
+        assigned = F.when(_may_name(w), w.rlike(rf"(?i){KNOWN}{CLOSE}{SIGN}")).otherwise(F.contains(w, F.lit("://")))
+        return ((F.length(w) >= 10) & w.rlike(TRIGGER)) | assigned
+
+    def beside(steps: int) -> Column:
+        return F.lower(F.translate(F.coalesce(F.get("_w", F.col("at") + steps), F.lit("")), BLANK, " "))
+
+    spots = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: worth(F.get("_w", i)))
     found = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), source_key(F.col(path)).alias("path"), words.alias("_w"))
-        .where("_w is not null").withColumn("at", F.explode(spots))
-        .select(
-            "doc_id", "path", "at", F.btrim(F.get("_w", F.col("at")), F.lit(AROUND)).alias("word"),
-            F.lower(F.coalesce(F.get("_w", F.col("at") - 1), F.lit(""))).alias("left1"),
-            F.lower(F.coalesce(F.get("_w", F.col("at") - 2), F.lit(""))).alias("left2"),
-            F.lower(F.coalesce(F.get("_w", F.col("at") + 1), F.lit(""))).alias("right1"),
-        )
+        docs.where("text is not null")
+        .select(F.col("doc_id").cast("long").alias("doc_id"), source_key(F.col(path)).alias("path"), words.alias("_w"))
+        .withColumn("at", F.explode(spots))
+        .select("doc_id", "path", "at", F.get("_w", F.col("at")).alias("word"), beside(-1).alias("left1"), beside(-2).alias("left2"),
+                beside(1).alias("right1"))
     )
-    named = F.regexp_extract("word", NAMED, 1)
-    core = F.btrim(F.when(named != "", F.regexp_extract("word", NAMED, 2)).otherwise(F.col("word")), F.lit(AROUND))
     before = F.when(F.col("left1").isin("=", ":", ":=", "=>"), F.col("left2")).otherwise(F.rtrim(F.col("left1"), F.lit("=:")))
+    name = F.substring_index("_f", BETWEEN, 1)
+    named, others = _found(F.col("word"))
     return (
-        found.withColumn("candidate", core).where(F.col("candidate").rlike(CORE) & F.col("candidate").rlike("[0-9]"))
-        .withColumn("name", F.when(named != "", F.lower(named)).otherwise(before)).drop("word", "left2")
+        found.withColumn("_named", named).withColumn("_f", F.explode(F.concat("_named", others)))
+        .withColumn("candidate", F.substring_index("_f", BETWEEN, -1))
+        .withColumn("name", F.when(name != "", name).otherwise(before)).drop("word", "left2", "_named", "_f")
     )
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
-    """Findings that plain rules are sure of: 1 for known formats and named values, 0 for addresses, numbers and dates."""
+    """Findings that plain rules are sure of: 1 for known formats and named values with a digit, 0 for addresses, numbers and dates."""
     text = F.col("candidate")
 
     def any_of(patterns: list[str]) -> Column:
@@ -64,7 +153,7 @@ def rule_labels(found: DataFrame) -> DataFrame:
 
     harmless = any_of(HARMLESS)
     return found.withColumn(
-        "label", F.when(any_of(FORMATS) | (F.col("name").isin(NAMES) & ~harmless), 1).when(harmless, 0))
+        "label", F.when(any_of(FORMATS) | (F.col("name").isin(NAMES) & ~harmless & text.rlike("[0-9]")), 1).when(harmless, 0))
 
 
 def dictionary(docs: DataFrame, least: int = 5) -> DataFrame:
