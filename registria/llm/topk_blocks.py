@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .common import stored
+
 CANDIDATES, QUERIES = 8192, 4096  # rows of a cell
 TOGETHER = 64  # queries that share the dense rounds
 BLOCK = 16  # dimensions of a round
@@ -14,8 +16,9 @@ LIMIT = 1 << 28  # components from here on could overflow a score
 
 
 def best_in_cell(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int):
-    """(query row, candidate row, score) of each query's ``k`` best candidates, ties to smaller ids.
+    """(query row, candidate row, score) of each query's ``k`` best candidate ids, ties to smaller ids.
 
+    An id with several rows counts once, by its best row, in the bounds and in the result.
     Dimensions are taken in order of the queries' mass. After each block of them a candidate's
     score lies within the remaining masses' product (Cauchy-Schwarz) of what it has; those that cannot
     reach the k-th best lower bound are dropped, and once few are left only they are gathered.
@@ -32,6 +35,22 @@ def best_in_cell(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, r
         return np.sqrt(np.vstack([np.cumsum(squares[::-1], axis=0)[::-1][1:], np.zeros((1, x.shape[1]))]))
 
     q_mass, c_mass = mass(q.T), mass(columns)
+    by_id = np.argsort(row_ids, kind="stable")
+    first = np.flatnonzero(np.diff(row_ids[by_id], prepend=row_ids[by_id][:1] - 1))  # of each id
+    repeated = len(first) < len(row_ids)
+
+    def best_rows(at_q: np.ndarray, at_c: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """Places of every (query, id) at its best value, by query and then from the best value down."""
+        if repeated:
+            order = np.lexsort((-value, row_ids[at_c], at_q))
+            ids, of = row_ids[at_c[order]], at_q[order]
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = (ids[1:] != ids[:-1]) | (of[1:] != of[:-1])
+            order = order[new]
+        else:
+            order = np.arange(len(at_q))
+        return order[np.lexsort((row_ids[at_c[order]], -value[order], at_q[order]))]
+
     for begin in range(0, len(q), TOGETHER):
         part = q[begin:begin + TOGETHER]
         own = query_ids[begin:begin + TOGETHER, None] == row_ids[None, :]
@@ -41,6 +60,8 @@ def best_in_cell(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, r
                 score += part[:, a:b] @ columns[a:b]
                 slack = q_mass[stage, begin:begin + TOGETHER, None] * c_mass[stage][None, :] * (1 + 1e-9) + (b < dims)
                 lower = np.where(own, -np.inf, score - slack)
+                if repeated:
+                    lower = np.maximum.reduceat(lower[:, by_id], first, axis=1)
                 least = np.partition(lower, -k, axis=1)[:, -k] if lower.shape[1] >= k else np.full(len(part), -np.inf)
                 alive = ~own & (score + slack >= least[:, None])
                 if b == dims or alive.mean() < SPARSE:
@@ -49,7 +70,7 @@ def best_in_cell(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, r
                 continue
             got = got + (part[at_q, a:b] * columns[a:b, at_c].T).sum(axis=1)
             slack = q_mass[stage, begin + at_q] * c_mass[stage, at_c] * (1 + 1e-9) + (b < dims)
-            rank = np.lexsort((-(got - slack), at_q))
+            rank = best_rows(at_q, at_c, got - slack)
             starts = np.searchsorted(at_q[rank], np.arange(len(part) + 1))
             least = np.full(len(part), -np.inf)
             for i in np.flatnonzero(np.diff(starts) >= k):
@@ -57,7 +78,7 @@ def best_in_cell(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, r
                 least[i] = got[spot] - slack[spot]
             keep = got + slack >= least[at_q]
             at_q, at_c, got = at_q[keep], at_c[keep], got[keep]
-        rank = np.lexsort((row_ids[at_c], -got, at_q))
+        rank = best_rows(at_q, at_c, got)
         place = np.arange(len(rank)) - np.searchsorted(at_q[rank], at_q[rank])
         rank = rank[place < k]
         yield begin + at_q[rank], at_c[rank], got[rank].astype(np.int64)
@@ -92,13 +113,14 @@ def top_k(table: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     Queries and candidates are dealt into a grid of cells of bounded size, each cell is searched by
     itself, and a query's best of all cells follow. Vectors that are null, empty, or hold a null, NaN,
     infinite or overlong component take no part, nor do rows without an id; vectors are compared
-    with those of equal length only. A query id that repeats keeps the best of all its vectors.
+    with those of equal length only. A query id that repeats keeps the best of all its vectors,
+    and so does a candidate id: it takes one place. Rows with equal id and vector are one row.
     """
-    rows = vectors(table)
+    rows = stored(vectors(table).distinct(), "vectors")
     asks = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
     total = rows.agg(F.count(F.lit(1)), F.sum((F.pmod("vec_id", F.lit(every)) == 0).cast("long"))).first()
     cs, qs = max(1, -(-total[0] // CANDIDATES)), max(1, -(-(total[1] or 0) // QUERIES))
-    spread = F.xxhash64("vec_id")
+    spread = F.xxhash64("vec_id", "v")
     left = asks.withColumn("q", F.pmod(spread, F.lit(qs))).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(cs - 1))))
     right = rows.withColumn("c", F.pmod(spread, F.lit(cs))).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(qs - 1))))
 

@@ -100,6 +100,27 @@ def test_top_k(spark, monkeypatch):
     assert topk_blocks.top_k(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("cell", [40, 10000])
+def test_top_k_of_repeated_rows(spark, monkeypatch, cell):
+    monkeypatch.setattr(topk_blocks, "CANDIDATES", cell)
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in np.float32(rng.normal(size=40))]) for i in range(120)]
+    rows += rows + [rows[7]] * 20  # wholly repeated
+    rows += [(i, [float(x) for x in np.float32(2 * rng.normal(size=40))]) for i in (3, 50, *[9] * 60)]  # several vectors of an id
+    got = rows_of(topk_blocks.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), every=50, k=5))
+    best = {}
+    whole = [(i, np.floor(256 * np.array(v)).astype(np.int64)) for i, v in rows]
+    for q, v in whole:
+        for i, w in whole:
+            if q % 50 == 0 and i != q:
+                best[q, i] = max(best.get((q, i), -2**62), int(v @ w))
+    want = {}
+    for q in (0, 50, 100):
+        order = sorted((i for a, i in best if a == q), key=lambda i: (-best[q, i], i))[:5]
+        want |= {(q, n + 1): (i, best[q, i]) for n, i in enumerate(order)}
+    assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in got} == want
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(200)] + [(7, 7), (5000, 5000), (1001, 1000)]
