@@ -205,7 +205,8 @@ def _odds(labelled: DataFrame, column: str, least: int = 3) -> DataFrame:
     """Smoothed log-odds of label 1 beside each value of ``column`` seen ``least`` times or more."""
     return (
         labelled.groupBy(F.col(column).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.sum("label").alias("_y")).where(F.col("_n") >= least)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.sum("weight").alias("_n"), F.sum(F.col("label") * F.col("weight")).alias("_y"))
+        .where(F.col("_rows") >= least)
         .select("_value", F.log((F.col("_y") + 0.5) / (F.col("_n") - F.col("_y") + 0.5)).alias("_o"))
     )
 
@@ -223,19 +224,27 @@ def _featured(rows: DataFrame, odds: dict[str, DataFrame]) -> DataFrame:
 def fit(labelled: DataFrame, max_rows: int = 20000, trees: int = 30, depth: int = 8) -> Forest:
     """Learns from shaped findings with a ``label``, at most ``max_rows`` of them, drawn by a hash of the finding.
 
-    A neighbouring word, a name or a path counts as the log-odds of its findings. With findings of one
+    Each label has half of ``max_rows``, and what the other leaves of its half; the findings drawn weigh as
+    many as their label has. A neighbouring word, a name or a path counts as the log-odds of its findings. With findings of one
     label only, or none, there are no trees and every score is that label's share.
     """
-    sample = stored(
-        labelled.where("label in (0, 1)").orderBy(F.xxhash64("doc_id", "at", "candidate"), "doc_id", "at").limit(max_rows), "findings"
-    )
-    n, y = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
+    known = labelled.where("label in (0, 1)")
+    totals = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    n0, n1 = totals.get(0, 0), totals.get(1, 0)
+    ones = min(n1, max(max_rows // 2, max_rows - n0))
+    taken = {0: min(n0, max_rows - ones), 1: ones}
+    drawn = [
+        known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id", "at", "candidate"), "doc_id", "at").limit(rows)
+        .withColumn("weight", F.lit(totals.get(label, 0) / max(rows, 1)))
+        for label, rows in taken.items()
+    ]
+    sample = stored(drawn[0].union(drawn[1]), "findings")
     odds = {column: stored(_odds(sample, column), f"odds-{column}") for column in PLACES}
-    if not n or y in (0, n):
-        return Forest(None, odds, y / n if n else 0.0)
-    grown = RandomForestClassifier(featuresCol="_features", labelCol="label", numTrees=trees, maxDepth=depth, seed=11,
+    if not n0 or not n1:
+        return Forest(None, odds, 1.0 if n1 else 0.0)
+    grown = RandomForestClassifier(featuresCol="_features", labelCol="label", weightCol="weight", numTrees=trees, maxDepth=depth, seed=11,
                                    featureSubsetStrategy="sqrt", minInstancesPerNode=3)
-    return Forest(grown.fit(_featured(sample, odds).select("_features", F.col("label").cast("double").alias("label"))), odds, y / n)
+    return Forest(grown.fit(_featured(sample, odds).select("_features", "weight", F.col("label").cast("double").alias("label"))), odds, n1 / (n0 + n1))
 
 
 def scored(found: DataFrame, forest: Forest) -> DataFrame:

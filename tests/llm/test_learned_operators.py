@@ -124,6 +124,15 @@ def test_secrets_inside_words(spark, text, want):
     assert {(r["name"], r["candidate"]) for r in rows_of(found)} == want
 
 
+def test_rare_secrets_are_learned(spark):
+    texts = [f"on 2024-01-{i % 28 + 1:02d} came" for i in range(600)]
+    for i in range(10, 600, 60):
+        texts[i] = f"key AKIA{i:03d}ABCDEFGHIJKLM here"
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    rows = rows_of(secret_forest.secret_scan(docs, max_rows=20))
+    assert len(rows) == 600 and all(r["predicted"] == r["label"] for r in rows)
+
+
 def test_pipeline(spark, tmp_path):
     docs = queries.table(spark, SF, "documents").where("doc_id < 300")
     folder = save(docs, tmp_path)
