@@ -106,7 +106,7 @@ def load(
             if any(r[1] > r[2] for r in counted):  # else there is no such partition
                 swap_table(spark, database, f"temp_{layout}", f"{path}/sound=true")
         except Exception as error:  # the other layouts go on
-            errors[layout] = f"{type(error).__name__}: {error}"[:2000]
+            errors[layout] = f"{type(error).__name__}: {error}"
 
     report = []
     for row in listed:

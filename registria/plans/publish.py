@@ -81,7 +81,7 @@ def promote(
             spark.sql(f"analyze table `{database}`.`{name}` compute statistics")
             report.append((name, "promoted", path, None))
         except Exception as error:  # one bad table must not stop the rest
-            report.append((name, "failed", path, f"{type(error).__name__}: {error}"[:2000]))
+            report.append((name, "failed", path, f"{type(error).__name__}: {error}"))
     report += [(name, "skipped", None, "nothing staged") for name in TABLES if name not in staged]
     return spark.createDataFrame(report, REPORT)
 

@@ -63,23 +63,26 @@ def _stem(archive):
 def with_targets(listed: DataFrame, target: str) -> DataFrame:
     """Adds ``out_path``, ``{archive stem}_{member name}.csv`` under ``target``.
 
-    Two members of one name keep the first, so no two tasks write one file.
+    Of members that would share a name the first keeps it; the others get a hash of
+    archive and position before the base name, so every member has a file of its own.
     """
-    name = F.concat(_stem("archive"), F.lit("_"), F.element_at(F.split("member", "/"), -1), F.lit(".csv"))
-    named = listed.where("valid").withColumn("out_path", F.concat(F.lit(target.rstrip("/") + "/"), name))
-    return (
-        named.groupBy("out_path")
-        .agg(F.min_by(F.struct("archive", "member", "bytes"), F.struct("archive", "position")).alias("m"))
-        .select("m.*", "out_path")
+    folder, base = F.lit(target.rstrip("/") + "/"), F.concat(F.element_at(F.split("member", "/"), -1), F.lit(".csv"))
+    own = F.sha2(F.concat_ws("\n", "archive", F.col("position").cast("string")), 256)
+    named = listed.where("valid").withColumn("out_path", F.concat(folder, _stem("archive"), F.lit("_"), base))
+    first = named.groupBy("out_path").agg(F.min(F.struct("archive", "position")).alias("_first"))
+    apart = F.concat(folder, _stem("archive"), F.lit("_"), F.substring(own, 1, 16), F.lit("_"), base)
+    return named.join(first, "out_path").select(
+        "archive", "position", "member", "bytes",
+        F.when(F.struct("archive", "position") == F.col("_first"), F.col("out_path")).otherwise(apart).alias("out_path"),
     )
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for archive, member, size, out_path in batch[["archive", "member", "bytes", "out_path"]].itertuples(index=False):
+        for archive, position, member, size, out_path in batch[["archive", "position", "member", "bytes", "out_path"]].itertuples(index=False):
             try:
-                status, quotes = _copy(archive, member, out_path)
+                status, quotes = _copy(archive, int(position), out_path)
                 flags = (quotes.multiline, quotes.open) if quotes else (None, None)
                 rows.append((archive, member, out_path, size, status, None, *flags))
             except DAMAGE as error:
@@ -103,7 +106,7 @@ class QuoteState:
         self.open = bool(inside[-1])
 
 
-def _copy(archive: str, member: str, out_path: str) -> tuple[str, QuoteState | None]:
+def _copy(archive: str, position: int, out_path: str) -> tuple[str, QuoteState | None]:
     """Copies a member verbatim and notes its quotes on the way.
 
     The name appears only when the file is complete, so a lost or repeated task
@@ -117,7 +120,7 @@ def _copy(archive: str, member: str, out_path: str) -> tuple[str, QuoteState | N
     source, inner = resolve(archive)
     try:
         with source.open_input_file(inner) as raw, zipfile.ZipFile(raw) as opened:
-            with opened.open(member) as src, target.open_output_stream(part) as dst:
+            with opened.open(opened.infolist()[position]) as src, target.open_output_stream(part) as dst:
                 while chunk := src.read(CHUNK):
                     quotes.feed(chunk)
                     dst.write(chunk)
@@ -176,12 +179,12 @@ def expand(spark: SparkSession, folder: str, target: str, manifest: str, limit:
 
 
 def largest_member(listed: DataFrame) -> DataFrame:
-    """Per valid archive its largest CSV-like member: ``archive, member, bytes, out_name``."""
+    """Per valid archive its largest CSV-like member: ``archive, position, member, bytes, out_name``."""
     name = F.lower("member")
     pick = (
         listed.where("valid").where(F.endswith(name, F.lit(".csv")) | F.contains(name, F.lit("estabele")))
         .groupBy("archive")
-        .agg(F.max_by(F.struct("member", "bytes"), F.struct("bytes", F.negative("position"))).alias("m"))
+        .agg(F.max_by(F.struct("position", "member", "bytes"), F.struct("bytes", F.negative("position"))).alias("m"))
         .select("archive", "m.*")
     )
     base = F.element_at(F.split("member", "/"), -1)

@@ -203,6 +203,18 @@ def test_expand(spark, tmp_path):
     assert {r["archive"].rsplit("/", 1)[1] for r in first.collect()} == {"Empresas0.zip"}
 
 
+def test_members_of_one_name_are_all_extracted(spark, tmp_path):
+    for folder, rows in (("p", "12"), ("q", "3")):
+        (tmp_path / "zip" / folder).mkdir(parents=True)
+        with zipfile.ZipFile(tmp_path / "zip" / folder / "a.zip", "w") as z:
+            for row in rows:
+                z.writestr(f"{row}/EMPRE", row)
+    listed = spark.createDataFrame([(f"{tmp_path}/zip/{f}/a.zip",) for f in "pq"], "path string")
+    done = archives.extract(listed, str(tmp_path / "csv")).collect()
+    assert [r["status"] for r in done] == ["extracted"] * 3
+    assert sorted(open(r["out_path"]).read() for r in done) == ["1", "2", "3"]
+
+
 def test_damaged_member_is_reported(spark, tmp_path):
     source = tmp_path / "zip"
     make_zips(source)
