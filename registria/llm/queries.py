@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import collocations, dedup_tree, language_crf, mixing, near_paths, packing, passages, secret_forest, sharding, token_counts, topk_blocks, toxicity
+from . import collocations, dedup_tree, language_crf, mixing, near_paths, packing, passages, secret_forest, sharding, spelling, token_counts, topk_blocks, toxicity
 
 BPE = "byte_bpe_50k.json"
 
@@ -54,6 +54,10 @@ def op10_interleaved_shards(spark, sf_dir):
     return sharding.shard_digest(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op11_gram_index_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_phrase_automata(spark, sf_dir):
     return passages.repeat_digest(table(spark, sf_dir, "documents"))
 
@@ -64,7 +68,7 @@ def op13_fingerprint_collocations(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_forest, op2_digest_tree_dedup, op3_columnar_topk, op4_chosen_path_dedup, op5_mixture_packing, op6_source_schedule, op7_spliced_counts,
-    op8_ratio_scaled_ngrams, op9_word_crf, op10_interleaved_shards, op12_phrase_automata, op13_fingerprint_collocations,
+    op8_ratio_scaled_ngrams, op9_word_crf, op10_interleaved_shards, op11_gram_index_variants, op12_phrase_automata, op13_fingerprint_collocations,
 )}
 
 ORACLES = {
@@ -72,6 +76,7 @@ ORACLES = {
     "op3_columnar_topk": topk_blocks.ORACLE,
     "op4_chosen_path_dedup": near_paths.ORACLE,
     "op6_source_schedule": mixing.ORACLE,
+    "op11_gram_index_variants": spelling.ORACLE,
     "op12_phrase_automata": passages.ORACLE,
     "op13_fingerprint_collocations": collocations.ORACLE,
 }
