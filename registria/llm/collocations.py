@@ -13,9 +13,10 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import dropped, stored
-from .fingerprints import SEGMENT, Words, batches, mixed, scan
+from .fingerprints import Words, batches, mixed, scan
 
 LONGEST = 4
+CHUNK = 1 << 20  # bytes whose phrases are counted together
 BLANKS, ENDS = b"\t ", b".,;:!?\n\x0b\x0c\r"
 END = re.compile(rb"[.,;:!?\x0A-\x0D]")
 BITS_PER_ENTRY, LEAST_BITS, MOST_BITS = 16, 16, 26  # of a filter: 8 MB at most, whatever the data
@@ -29,7 +30,7 @@ def _lang_print(lang: str) -> int:
 def _parts(text: bytes) -> Iterator[bytes]:
     """A long text cut where a piece ends; no phrase reaches over such a place."""
     at = 0
-    while len(text) - at > SEGMENT and (end := END.search(text, at + SEGMENT)):
+    while len(text) - at > CHUNK and (end := END.search(text, at + CHUNK)):
         yield text[at : end.start()]
         at = end.end()
     yield text[at:]
@@ -39,7 +40,7 @@ def _scanned(found: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], Words
     """Languages of some texts and the words of these, lower-cased (A-Z only)."""
     for batch in found:
         langs, texts = batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()
-        for rows in batches((lang, part) for lang, text in zip(langs, texts) for part in _parts(text.lower())):
+        for rows in batches(((lang, part) for lang, text in zip(langs, texts) for part in _parts(text.lower())), CHUNK):
             yield [r[0] for r in rows], scan([r[1] for r in rows], BLANKS, ENDS)
 
 
@@ -132,7 +133,7 @@ def phrase_counts(docs: DataFrame, at_least: int = 30, longest: int = LONGEST) -
     """(lang, length, phrase, n): exact counts of all phrases of one to ``longest`` words with ``n >= at_least``.
 
     A row of length 0 and phrase '' holds all word occurrences of a language. Fingerprints of
-    every n-gram come from prefix polynomials in numpy, a few million words at a time, and
+    every n-gram come from prefix polynomials in numpy, a megabyte at a time, and
     their sums, not the n-grams, are shuffled. A phrase is only as frequent as its parts: pairs are
     counted where both words are frequent, longer phrases where all pairs are, by bitmaps
     of a bounded size which let some others pass but stop no frequent one. The last pass takes the n-grams whose
@@ -142,7 +143,7 @@ def phrase_counts(docs: DataFrame, at_least: int = 30, longest: int = LONGEST) -
 
     Null texts are empty, null languages ``und``; other columns are not read. Rows that
     repeat count each time. An empty table gives an empty result. A task holds one piece
-    of a text (up to a punctuation mark or line break), or two megabytes of several.
+    of a text (up to a punctuation mark or line break), or one megabyte of several.
     """
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     filters: dict[int, Broadcast] = {}

@@ -10,7 +10,7 @@ import numpy as np
 
 # Odd numbers, so that they have an inverse modulo 2**64; drawn once at random.
 BYTE, WORD, OTHER = 0x9D7C3F1B5A2E8461, 0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F
-SEGMENT = 2 << 20  # bytes that are hashed at once
+SEGMENT = 1 << 18  # bytes that are hashed at once: their arrays stay in the processor's cache
 GAP = re.compile(rb"[\x20\x09-\x0D]")
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}

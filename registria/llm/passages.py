@@ -84,57 +84,74 @@ def _cut_slices(window: int):
 
     def cut(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            out: list[tuple] = []
-            for o, text, runs in zip(batch.column("ord").to_pylist(), batch.column("text").to_pylist(), batch.column("runs").to_pylist()):
-                words, held = text.split(), None
-                for run in runs:
-                    if held and run["shard"] == held[0] and run["at"] <= held[2] + 1:
-                        held[2] = max(held[2], run["at"] + run["n"] - 1)
-                        continue
-                    if held:
-                        out.append((held[0], held[3], o, held[1], b" ".join(words[held[1] : held[2] + window])))
-                    held = [run["shard"], run["at"], run["at"] + run["n"] - 1, run["parts"]]
-                if held:
-                    out.append((held[0], held[3], o, held[1], b" ".join(words[held[1] : held[2] + window])))
-            if out:
-                yield pa.record_batch([pa.array(c) for c in zip(*out)], names=["shard", "parts", "ord", "at", "text"])
+            runs = batch.column("runs")
+            at, n, shard, parts = (f.to_numpy(zero_copy_only=False) for f in runs.flatten().flatten())
+            row = np.repeat(np.arange(batch.num_rows), runs.value_lengths().to_numpy())
+            if not len(at):
+                continue
+            joined = (row[1:] == row[:-1]) & (shard[1:] == shard[:-1]) & (at[1:] <= at[:-1] + n[:-1])
+            new = np.flatnonzero(np.r_[True, ~joined])
+            last = np.r_[new[1:], len(at)] - 1
+            texts, held, words, out = batch.column("text"), -1, [], []
+            for r, lo, hi in zip(row[new].tolist(), at[new].tolist(), (at[last] + n[last] - 1 + window).tolist()):
+                if r != held:
+                    held, words = r, texts[r].as_py().split()
+                out.append(b" ".join(words[lo:hi]))
+            order = batch.column("ord").to_numpy()[row[new]]
+            yield pa.record_batch([pa.array(c) for c in (shard[new], parts[new], order, at[new], out)], names=["shard", "parts", "ord", "at", "text"])
 
     return cut
 
 
+SEEN = "print long, check long, shard long, ord long, at long, n long, next long, next_too long, prev long, prev_too long"
+
+
 def _hash_windows(window: int):
+    """Every window's fingerprints, its first place, occurrences, and the least and greatest word after and before it."""
+
     def hashed(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             columns = [batch.column(c).to_pylist() for c in ("shard", "ord", "at", "text")]
             for some in batches(zip(*columns)):
                 words = scan([r[3] for r in some], BLANKS, b"")
                 at = np.flatnonzero(words.whole(window))
-                own = words.text[at]
+                if not len(at):
+                    continue
+                own, edged = words.text[at], np.r_[np.uint64(0), words.print, np.uint64(0)].view(np.int64)
+                of = np.r_[-1, words.text, -1]
+                after = np.where(of[at + window + 1] == own, edged[at + window + 1], 0)
+                before = np.where(of[at] == own, edged[at], 0)
                 prints, check = words.grams(window)[at], words.grams(window, OTHER)[at]
                 shard, order, first = (np.array([r[i] for r in some])[own] for i in range(3))
                 place = at - _first_of_text(words, len(some))[own] + first
                 by = np.lexsort((place, order, check, prints))
-                new = np.flatnonzero(np.r_[True, (np.diff(prints[by]) != 0) | (np.diff(check[by]) != 0)]) if len(by) else by
+                new = np.flatnonzero(np.r_[True, (np.diff(prints[by]) != 0) | (np.diff(check[by]) != 0)])
                 top = by[new]
-                yield pa.record_batch(
-                    [pa.array(prints[top].view(np.int64)), pa.array(check[top].view(np.int64)), pa.array(shard[top]), pa.array(order[top]), pa.array(place[top]), pa.array(np.diff(np.r_[new, len(by)]).astype(np.int64))],
-                    names=["print", "check", "shard", "ord", "at", "n"],
-                )
+                ends = [f.reduceat(c[by], new) for c in (after, before) for f in (np.minimum, np.maximum)]
+                arrays = [prints[top].view(np.int64), check[top].view(np.int64), shard[top], order[top], place[top], np.diff(np.r_[new, len(by)]), *ends]
+                yield pa.record_batch([pa.array(c.astype(np.int64)) for c in arrays], names=SEEN.replace(" long", "").split(", "))
 
     return hashed
 
 
 def _cut_patterns(window: int):
-    """Texts of the stretches of windows that come first where a slice has them."""
+    """Phrases where a slice has the windows that come first: neighbours stay together if they always do.
+
+    ``firsts`` holds a window's place times four, plus two if one word follows it at all its occurrences,
+    plus one if one word goes before all of them.
+    """
 
     def cut(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             out: list[tuple] = []
             for shard, parts, o, at, text, firsts in zip(*[batch.column(c).to_pylist() for c in ("shard", "parts", "ord", "at", "text", "firsts")]):
                 words = text.split()
-                mine = np.unique([f - at for f in firsts if 0 <= f - at <= len(words) - window])
-                if len(mine):
-                    for stretch in np.split(mine, np.flatnonzero(np.diff(mine) != 1) + 1):
+                coded = np.unique(np.array(firsts) - 4 * at)
+                coded = coded[(coded >= 0) & (coded >> 2 <= len(words) - window)]
+                if len(coded):
+                    mine = coded >> 2
+                    bound = (np.diff(mine) == 1) & (coded[:-1] & 2 == 2) & (coded[1:] & 1 == 1)
+                    for stretch in np.split(mine, np.flatnonzero(~bound) + 1):
                         lo, hi = int(stretch[0]), int(stretch[-1])
                         out.append((shard, parts, o, at + lo, b" ".join(words[lo : hi + window])))
             if out:
@@ -143,33 +160,31 @@ def _cut_patterns(window: int):
     return cut
 
 
-def _locate(window: int):
+def _locate(slices: pd.DataFrame, patterns: pd.DataFrame) -> pd.DataFrame:
     """Streams the slices of a shard past its automaton: the stretches that occur earlier elsewhere."""
-
-    def locate(slices: pd.DataFrame, patterns: pd.DataFrame) -> pd.DataFrame:
-        number: dict[bytes, int] = {}
-        machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for o, at, text in zip(patterns["ord"], patterns["at"], patterns["text"]):
-            ids = [number.setdefault(w, len(number) + 1) for w in text.split()]
-            for i in range(len(ids) - window + 1):
-                machine.add_word(tuple(ids[i : i + window]), (o, at + i))
-        out: list[tuple[int, int, int]] = []
-        if len(machine):
-            machine.make_automaton()
-            for o, at, text in zip(slices["ord"], slices["at"], slices["text"]):
-                lo = hi = -1
-                for end, first in machine.iter(tuple([number.get(w, 0) for w in text.split()])):
-                    if first != (o, begin := at + end - window + 1):
-                        if begin > hi:
-                            if hi > lo:
-                                out.append((o, lo, hi))
-                            lo = begin
-                        hi = begin + window
-                if hi > lo:
-                    out.append((o, lo, hi))
-        return pd.DataFrame(out, columns=["ord", "lo", "hi"]).astype("int64")
-
-    return locate
+    number: dict[bytes, int] = {}
+    machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    sizes = []
+    for k, text in enumerate(patterns["text"]):
+        ids = tuple([number.setdefault(w, len(number) + 1) for w in text.split()])
+        machine.add_word(ids, k)
+        sizes.append(len(ids))
+    size, order, place = np.array(sizes), patterns["ord"].to_numpy(), patterns["at"].to_numpy()
+    out = [np.zeros((0, 3), np.int64)]
+    if len(machine):
+        machine.make_automaton()
+        for o, at, text in zip(slices["ord"], slices["at"], slices["text"]):
+            if hits := list(machine.iter(tuple([number.get(w, 0) for w in text.split()]))):
+                end, k = np.array(hits).T
+                lo = at + end + 1 - size[k]
+                hi = at + end + 1
+                late = (order[k] != o) | (place[k] != lo)
+                if late.any():
+                    by = np.argsort(lo[late], kind="stable")
+                    lo, hi = lo[late][by], np.maximum.accumulate(hi[late][by])
+                    new = np.flatnonzero(np.r_[True, lo[1:] > hi[:-1]])
+                    out.append(np.stack([np.full(len(new), o), lo[new], hi[np.r_[new[1:], len(lo)] - 1]], axis=1))
+    return pd.DataFrame(np.concatenate(out), columns=["ord", "lo", "hi"]).astype("int64")
 
 
 def _repeats(texts: DataFrame, window: int, gram: int) -> DataFrame:
@@ -190,15 +205,17 @@ def _repeats(texts: DataFrame, window: int, gram: int) -> DataFrame:
     slices = texts.select("ord", "text").join(per_text, "ord").mapInArrow(_cut_slices(window), "shard long, parts long, ord long, at long, text binary")
     slices = stored(slices.withColumn("part", F.pmod(F.xxhash64("ord"), "parts")).repartition("shard", "part"), "passage-slices")
     dropped(placed)
-    seen = slices.select("shard", "ord", "at", "text").mapInArrow(_hash_windows(window), "print long, check long, shard long, ord long, at long, n long")
+    seen = slices.select("shard", "ord", "at", "text").mapInArrow(_hash_windows(window), SEEN)
+    added = [F.sum("n").alias("n"), F.min(F.struct("ord", "at")).alias("first"), *[f(c).alias(c) for f, c in ((F.min, "next"), (F.max, "next_too"), (F.min, "prev"), (F.max, "prev_too"))]]
+    coded = F.expr("first.at * 4 + if(next = next_too and next <> 0, 2, 0) + if(prev = prev_too and prev <> 0, 1, 0)")
     firsts = (
-        seen.groupBy("print", "check", "shard").agg(F.sum("n").alias("n"), F.min(F.struct("ord", "at")).alias("first")).where("n > 1")
-        .groupBy("shard", "first.ord").agg(F.collect_list("first.at").alias("firsts"))
+        seen.groupBy("print", "check", "shard").agg(*added).where("n > 1")
+        .groupBy("shard", "first.ord").agg(F.collect_list(coded).alias("firsts"))
     )
     patterns = slices.drop("part").join(firsts, ["shard", "ord"]).mapInArrow(_cut_patterns(window), "shard long, parts long, ord long, at long, text binary")
     everywhere = patterns.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
     pairs = slices.drop("parts").groupBy("shard", "part").cogroup(everywhere.groupBy("shard", "part"))
-    return pairs.applyInPandas(_locate(window), "ord long, lo long, hi long")
+    return pairs.applyInPandas(_locate, "ord long, lo long, hi long")
 
 
 def _cut_texts(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,8 +245,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
        neighbours share, so one row stands for some eight windows. Values seen once are done with. The
        stretches of the others are cut out, their windows are hashed to 128 bits and added up; those seen
        again are repeated, and their first place is known.
-    2. Compile. Windows seen again become automata over word numbers, some 40,000 windows in
-       each. Values that come first in the same document go to the same shard, so a text is
+    2. Compile. Windows that always follow each other are one phrase; the phrases become automata over
+       word numbers, some 40,000 windows in each. Values that come first in the same document go to the same shard, so a text is
        streamed past few automata, however many there are.
     3. Stream. All stretches of a shard pass its automaton, which compares words and finds
        every occurrence; all but the first are removed. Shards with many occurrences are several tasks.
