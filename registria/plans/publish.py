@@ -1,7 +1,8 @@
-"""Hardening, the publication gate and the swap of published tables."""
+"""Hardening, the publication gate and the publication itself."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import clean
 from ..operators.scope import prepare_fact
 from ..sources.layouts import DATE_COLUMNS, TABLES
+from . import versions
 
 REPORT = "table string, action string, path string, error string"
 
@@ -38,50 +40,38 @@ def clustered(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return placed.sortWithinPartitions(*keys).drop("_place")
 
 
-def swap_table(spark: SparkSession, database: str, name: str, path: str) -> None:
-    """Points ``database.name`` at ``path``. Readers see the old or the new data, never none.
-
-    Moving the location is one catalog change. Only a changed schema needs the
-    entry to be made anew; the files of earlier runs stay where they are.
-    """
-    table, location = f"`{database}`.`{name}`", path.replace("'", "\\'")
-    spark.sql(f"create database if not exists `{database}`")
-    new = spark.read.parquet(path)
-    if spark.catalog.tableExists(f"{database}.{name}"):
-        if spark.table(table).schema == new.schema:
-            spark.sql(f"alter table {table} set location '{location}'")
-            spark.catalog.refreshTable(f"{database}.{name}")
-            return
-        spark.sql(f"drop table {table}")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema)
-    spark.sql(f"create table {table} ({columns}) using parquet location '{location}'")
-
-
 def promote(
     spark: SparkSession, staged: Mapping[str, DataFrame], status: bool, root: str, run_id: str,
-    database: str = "curated", fact_partitions: int | None = None,
+    database: str = "curated", fact_partitions: int | None = None, all_or_nothing: bool = False,
 ) -> DataFrame:
     """Publishes each staged table: ``table, action, path, error``.
 
-    With ``status`` false nothing is touched. A table that fails is reported and
-    the others go on; kinds with nothing staged are reported as skipped. Every run writes new paths, so a rerun repeats safely.
+    With ``status`` false nothing is touched. Every table is written to a new folder; then one new
+    version names them all (``versions``), so readers of versions see the tables of this run together
+    or those before, and views by name follow. A run that ends before leaves the earlier version in force.
+
+    A table that fails is reported and the others go on, beside its last good one; with
+    ``all_or_nothing`` the run is withheld instead. Kinds with nothing staged are reported as skipped.
     """
-    report = []
+    report, written = [], {}
     for name, df in staged.items():
         if not status:
             report.append((name, "skipped", None, "load reported errors"))
             continue
-        path = f"{root.rstrip('/')}/{name}/{run_id}"
+        path = f"{root.rstrip('/')}/{name}/{run_id}-{uuid.uuid4().hex[:8]}"
         try:
             out = curated(name, df)
             if name == "estabelecimento":
                 out = clustered(out, fact_partitions)
-            out.write.mode("overwrite").parquet(path)
-            swap_table(spark, database, name, path)
-            spark.sql(f"analyze table `{database}`.`{name}` compute statistics")
-            report.append((name, "promoted", path, None))
+            out.write.parquet(path)
+            written[name] = path
         except Exception as error:  # one bad table must not stop the rest
             report.append((name, "failed", path, f"{type(error).__name__}: {error}"))
+    if all_or_nothing and any(action == "failed" for _, action, _, _ in report):
+        report += [(name, "withheld", path, "another table failed") for name, path in written.items()]
+    elif written:
+        versions.show(spark, database, versions.publish(spark, root, run_id, written))
+        report += [(name, "promoted", path, None) for name, path in written.items()]
     report += [(name, "skipped", None, "nothing staged") for name in TABLES if name not in staged]
     return spark.createDataFrame(report, REPORT)
 

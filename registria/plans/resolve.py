@@ -7,13 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .versions import RUNS, Version
+
 FACT = "estabelecimento"
 STAGED = "temp_"
 
 
 def _databases(spark: SparkSession, first: Sequence[str] = ()) -> list[str]:
-    """All databases: those named ``first`` in that order, then the others by name."""
-    known = sorted(db.name for db in spark.catalog.listDatabases())
+    """All databases: those named ``first`` in that order, then the others by name. Tables of single runs do not count."""
+    known = sorted(db.name for db in spark.catalog.listDatabases() if not db.name.endswith(RUNS))
     wanted = [db for db in dict.fromkeys(first) if db in known]
     return wanted + [db for db in known if db not in wanted]
 
@@ -69,3 +71,9 @@ class Registry:
         dims = ("empresas", "simples", "natureza_juridica", "municipio")
         found = {d: table(first_table(spark, [d, STAGED + d], databases)) for d in dims}
         return cls(fact=table(fact_table(spark, databases)), **found)
+
+    @classmethod
+    def of(cls, spark: SparkSession, version: Version) -> Registry:
+        """Tables of one published version: all of one run's publication, however many follow."""
+        names = {"fact": FACT} | {d: d for d in ("empresas", "simples", "natureza_juridica", "municipio")}
+        return cls(**{k: version.table(spark, name) if name in version.tables else None for k, name in names.items()})

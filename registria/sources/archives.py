@@ -1,6 +1,6 @@
 """ZIP archives: members, extraction, and the choice of the main member.
 
-Python workers run only here and in the encoding probe, since Spark reads no ZIP.
+Python workers run only here and where bytes are looked at (``content``), since Spark reads no ZIP.
 Bytes stream from archive to target in chunks; no file is ever held in memory.
 """
 
@@ -11,13 +11,13 @@ import zipfile
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.joins import anti_join
-from .files import list_files, resolve, spread
+from .content import Content
+from .files import list_files, qualified, resolve, spread
 
 CHUNK = 1024 * 1024
 # What a damaged or unreadable archive raises; ArrowInvalid if it is too short for the trailer.
@@ -26,7 +26,7 @@ DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, pa.ArrowInvali
 MEMBERS = "archive string, position long, member string, bytes long, valid boolean, error string"
 RESULTS = (
     "archive string, member string, out_path string, bytes long, status string, error string,"
-    " multiline boolean, unterminated boolean"
+    " encoding string, multiline boolean, unterminated boolean"
 )
 
 
@@ -82,32 +82,18 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for archive, position, member, size, out_path in batch[["archive", "position", "member", "bytes", "out_path"]].itertuples(index=False):
             try:
-                status, quotes = _copy(archive, int(position), out_path)
-                flags = (quotes.multiline, quotes.open) if quotes else (None, None)
-                rows.append((archive, member, out_path, size, status, None, *flags))
+                status, seen = _copy(archive, int(position), out_path)
+                facts = (seen.encoding, seen.multiline, seen.unterminated) if seen else (None, None, None)
+                rows.append((archive, member, out_path, size, status, None, *facts))
             except DAMAGE as error:
-                rows.append((archive, member, out_path, size, "failed", f"{type(error).__name__}: {error}", None, None))
+                rows.append((archive, member, out_path, size, "failed", f"{type(error).__name__}: {error}", None, None, None))
         yield pd.DataFrame(rows, columns=[
-            "archive", "member", "out_path", "bytes", "status", "error", "multiline", "unterminated",
+            "archive", "member", "out_path", "bytes", "status", "error", "encoding", "multiline", "unterminated",
         ]).astype({"multiline": "boolean", "unterminated": "boolean"})
 
 
-class QuoteState:
-    """Whether a stream of bytes has a line break inside quotes, and whether it ends inside."""
-
-    def __init__(self) -> None:
-        self.open = self.multiline = False
-
-    def feed(self, chunk: bytes) -> None:
-        data = np.frombuffer(chunk, dtype=np.uint8)
-        inside = np.bitwise_xor.accumulate(data == ord('"')) ^ self.open
-        if not self.multiline:
-            self.multiline = bool(inside[(data == ord("\n")) | (data == ord("\r"))].any())
-        self.open = bool(inside[-1])
-
-
-def _copy(archive: str, position: int, out_path: str) -> tuple[str, QuoteState | None]:
-    """Copies a member verbatim and notes its quotes on the way.
+def _copy(archive: str, position: int, out_path: str) -> tuple[str, Content | None]:
+    """Copies a member verbatim and notes its encoding and quotes on the way.
 
     The name appears only when the file is complete, so a lost or repeated task
     leaves nothing half-written.
@@ -115,39 +101,39 @@ def _copy(archive: str, position: int, out_path: str) -> tuple[str, QuoteState |
     target, out = resolve(out_path)
     if target.get_file_info(out).is_file:
         return "exists", None
-    quotes = QuoteState()
+    seen = Content()
     part = f"{out}.{uuid.uuid4().hex}.part"
     source, inner = resolve(archive)
     try:
         with source.open_input_file(inner) as raw, zipfile.ZipFile(raw) as opened:
             with opened.open(opened.infolist()[position]) as src, target.open_output_stream(part) as dst:
                 while chunk := src.read(CHUNK):
-                    quotes.feed(chunk)
+                    seen += Content.of(chunk)
                     dst.write(chunk)
-    except DAMAGE:
-        target.delete_file(part)
-        raise
-    target.move(part, out)
-    return "extracted", quotes
+        target.move(part, out)
+    finally:  # whatever the error, no part stays behind
+        if target.get_file_info(part).is_file:
+            target.delete_file(part)
+    return "extracted", seen
 
 
 def extract(archives: DataFrame, target: str) -> DataFrame:
-    """``archive, member, out_path, bytes, status, error, multiline, unterminated`` after
-    extracting every member.
+    """``archive, member, out_path, bytes, status, error, encoding, multiline, unterminated``
+    after extracting every member.
 
     One task per member rather than per archive. Running the result does the
     work: store it once instead of reading it twice. A member extracted before
-    is ``exists``, an unreadable archive ``corrupt``. The last two columns tell whether a
-    quoted value spans lines or never ends, so loading needs no pass to find out.
+    is ``exists``, an unreadable archive ``corrupt``. The last three columns tell the encoding and whether
+    a quoted value spans lines or never ends, so loading needs no pass to find out.
     """
-    listed = members(archives)
+    listed, target = members(archives), qualified(archives.sparkSession, target)
     return _copied(with_targets(listed, target), target).unionByName(_unread(listed, ~F.col("valid"), "corrupt"))
 
 
 def extract_largest(archives: DataFrame, target: str) -> DataFrame:
     """As ``extract``, but only the largest CSV-like member of each archive, named as
     ``largest_member`` says. An archive without such a member is ``no csv member``."""
-    listed = members(archives)
+    listed, target = members(archives), qualified(archives.sparkSession, target)
     picked = largest_member(listed)
     out_path = F.concat(F.lit(target.rstrip("/") + "/"), F.col("out_name"))
     without = anti_join(listed, picked, "archive").where(~F.col("valid") | (F.col("position") == 0))
@@ -167,7 +153,7 @@ def _copied(targets: DataFrame, target: str) -> DataFrame:
 def _unread(listed: DataFrame, which: Column, status: str) -> DataFrame:
     return listed.where(which).select(
         "archive", "member", F.lit(None).cast("string").alias("out_path"), "bytes",
-        F.lit(status).alias("status"), "error",
+        F.lit(status).alias("status"), "error", F.lit(None).cast("string").alias("encoding"),
         F.lit(None).cast("boolean").alias("multiline"), F.lit(None).cast("boolean").alias("unterminated"),
     )
 

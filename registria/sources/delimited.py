@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import codecs
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.clean import strip_nul
-from .files import literal, resolve, spread
+from .content import Content, contents
+from .files import literal
 from .layouts import DATE_COLUMNS, LAYOUTS, text_schema
 
-CHUNK_BYTES = 1 << 20
 CORRUPT = "_malformed"
 SOURCE = "source_file"
+# Where a record begins: the block its reader took and its number there, counted from any base.
+PLACE = ["_block", "_nth"]
 # Marks a quoted blank while reading, to tell it from an absent value. No file
 # holds this control character as a whole value.
 QUOTED_BLANK = "\u0001"
@@ -26,30 +26,17 @@ def detect_encoding(chunks: Iterator[bytes]) -> str:
 
     A character may straddle chunks. Reading ends at the first byte that is not UTF-8.
     """
-    decoder, marked, first = codecs.getincrementaldecoder("utf-8")("strict"), False, True
-    try:
-        for chunk in chunks:
-            marked, first = marked or (first and chunk.startswith(codecs.BOM_UTF8)), False
-            decoder.decode(chunk)
-        decoder.decode(b"", final=True)
-    except UnicodeDecodeError:
-        return "latin-1"
-    return "utf-8-sig" if marked else "utf-8"
-
-
-def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        found = []
-        for path in batch["path"]:
-            system, inner = resolve(path)
-            with system.open_input_stream(inner) as stream:
-                found.append(detect_encoding(iter(lambda: stream.read(CHUNK_BYTES), b"")))
-        yield batch.assign(encoding=found)
+    seen = Content()
+    for chunk in chunks:
+        seen += Content.of(chunk)
+        if not seen.valid:
+            break
+    return seen.encoding
 
 
 def encodings(files: DataFrame) -> DataFrame:
-    """``path, encoding`` from all bytes of each file, a task per file and a megabyte at a time."""
-    return spread(files.select("path")).mapInPandas(_probe, "path string, encoding string")
+    """``path, encoding`` from all bytes of each file, read by blocks."""
+    return contents(files).select("path", "encoding")
 
 
 def _odd_quotes(text: str) -> Column:
@@ -57,19 +44,6 @@ def _odd_quotes(text: str) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))) % 2
 
 
-def quote_balance(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``path, multiline, unterminated``: whether quoted values of a file span lines, or never end.
-
-    Plain text lines, so many tasks scan one large file.
-    """
-    return (
-        spark.read.text([literal(p) for p in paths]).select(F.col("_metadata.file_path").alias("path"), _odd_quotes("value").alias("odd"))
-        .groupBy("path").agg(
-            (F.max("odd") == 1).alias("multiline"), (F.sum("odd") % 2 == 1).alias("unterminated")
-        )
-    )
-
-
 def _options() -> dict[str, str]:
     return {
         "sep": ";", "quote": '"', "escape": '"', "header": "false", "mode": "PERMISSIVE",
@@ -82,6 +56,14 @@ def _schema(layout: str) -> T.StructType:
     return T.StructType([*text_schema(layout).fields, T.StructField(CORRUPT, T.StringType())])
 
 
+def staged_schema(layout: str) -> T.StructType:
+    """Columns of ``read_files``."""
+    schema = T.StructType([*_schema(layout).fields, T.StructField(SOURCE, T.StringType())])
+    for name in PLACE:
+        schema = schema.add(name, T.LongType())
+    return schema
+
+
 def _charset(encoding: str) -> str:
     return "ISO-8859-1" if encoding == "latin-1" else "UTF-8"
 
@@ -89,7 +71,10 @@ def _charset(encoding: str) -> str:
 def _read_lines(spark: SparkSession, layout: str, paths: list[str], encoding: str) -> DataFrame:
     """Files whose records are lines: Spark splits them at will."""
     reader = spark.read.schema(_schema(layout)).options(**_options(), encoding=_charset(encoding))
-    return reader.csv([literal(p) for p in paths]).select("*", F.col("_metadata.file_path").alias(SOURCE))
+    return reader.csv([literal(p) for p in paths]).select(
+        "*", F.col("_metadata.file_path").alias(SOURCE), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_nth"),
+    )
 
 
 def _read_broken(spark: SparkSession, layout: str, paths: list[str], encoding: str) -> DataFrame:
@@ -129,21 +114,23 @@ def _read_broken(spark: SparkSession, layout: str, paths: list[str], encoding: s
     joined = (
         placed.where(~alone).join(owners, line).groupBy(SOURCE, begun.alias("_begun"))
         .agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("value"))
+        .select(SOURCE, "_begun._block", F.col("_begun._record").cast("long").alias("_nth"), "value")
     )
-    records = placed.where(alone).select(SOURCE, "value").unionByName(joined.select(SOURCE, "value"))
+    whole = placed.where(alone).select(SOURCE, "_block", F.col("_record").cast("long").alias("_nth"), "value")
+    records = whole.unionByName(joined)
     text = F.col("value")
     if encoding == "latin-1":
         text = F.decode(text.cast("binary"), _charset(encoding))
     parsed = F.from_csv(F.regexp_replace(text, r"\r$", ""), F.lit(_schema(layout).toDDL()), _options())
-    return records.where(F.col("value") != "").select(parsed.alias("r"), SOURCE).select("r.*", SOURCE)
+    return records.where(F.col("value") != "").select(parsed.alias("r"), SOURCE, *PLACE).select("r.*", SOURCE, *PLACE)
 
 
 def read_alike(spark: SparkSession, layout: str, paths: list[str], encoding: str, multiline: bool) -> DataFrame:
-    """Files of one layout, encoding and line rule as text columns, plus source and malformed text."""
+    """Files of one layout, encoding and line rule as text columns, plus malformed text, source and place."""
     raw = (_read_broken if multiline else _read_lines)(spark, layout, paths, encoding)
     dates = DATE_COLUMNS.get(layout, [])
     return raw.select(
-        *[_value(name, name in dates).alias(name) for name in LAYOUTS[layout]], CORRUPT, SOURCE
+        *[_value(name, name in dates).alias(name) for name in LAYOUTS[layout]], CORRUPT, SOURCE, *PLACE
     )
 
 

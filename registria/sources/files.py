@@ -16,6 +16,19 @@ def resolve(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the file system Spark would take, so that tasks do not take a bare path for their own disk.
+
+    On a cluster a local target is refused: each task would write to its own machine.
+    """
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    whole = place.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    if whole.startswith("file:") and context.master.split("[")[0] not in ("local", "local-cluster"):
+        raise ValueError(f"{path} is on the machine's own disk; name a folder all executors share")
+    return whole
+
+
 def literal(path: str) -> str:
     """A listed path for a reader that would take ``[``, ``{``, ``*`` or ``?`` as a pattern."""
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)

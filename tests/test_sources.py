@@ -7,7 +7,7 @@ from datetime import date
 import pytest
 
 from registria.plans import ingest, publish, resolve
-from registria.sources import archives, delimited, files, geometry, links
+from registria.sources import archives, content, delimited, files, geometry, links
 from registria.streaming.intake import start_intake
 
 EMPRESAS = (
@@ -44,7 +44,7 @@ def test_detect_encoding(chunks, want):
 
 
 def test_encodings_read_whole_files(spark, tmp_path):
-    size = delimited.CHUNK_BYTES
+    size = content.CHUNK_BYTES
     write(tmp_path, "cut.csv", b"a" * (size - 1) + "Ã".encode() + b"b" * 50)
     write(tmp_path, "late.csv", b"a" * (size + 10) + b"\xff")
     write(tmp_path, "latin.csv", "SÃO", "latin-1")
@@ -79,7 +79,7 @@ def test_blank_dates_are_null(spark, tmp_path):
 def test_breaks_and_nuls(spark, tmp_path):
     broken = write(tmp_path, "b.csv", estab("1", name="two\nlines") + estab("2", name="nul\x00"))
     plain = write(tmp_path, "p.csv", estab("3"))
-    found = {r["path"].rsplit("/", 1)[1]: r["multiline"] for r in delimited.quote_balance(spark, [str(broken), str(plain)]).collect()}
+    found = {r["path"].rsplit("/", 1)[1]: r["multiline"] for r in content.contents(files.list_files(spark, str(tmp_path), '.csv')).collect()}
     assert found == {"b.csv": True, "p.csv": False}
     profile = [(str(broken), "utf-8", True), (str(plain), "utf-8", False)]
     names = sorted(r["nome_fantasia"] for r in delimited.read_files(spark, "estabelecimento", profile).collect())
@@ -108,7 +108,7 @@ def test_broken_records_over_many_blocks(spark, tmp_path, tiny_blocks, encoding)
         last = "" if i % 2 else '""'
         texts[i % 2] += f'"{i:08}";"{name.replace(chr(34), chr(34) * 2)}";"2062";"49";"1,00";"01";{last}\n'
     paths = [str(write(tmp_path, f"empre{n}.csv", t, encoding)) for n, t in enumerate(texts)]
-    assert all(r["multiline"] and not r["unterminated"] for r in delimited.quote_balance(spark, paths).collect())
+    assert all(r["multiline"] and not r["unterminated"] for r in content.contents(files.list_files(spark, str(tmp_path), '.csv'), 100).collect())
     got = delimited.read_files(spark, "empresas", [(p, encoding, True) for p in paths]).collect()
     assert sorted((r["cnpj_basico"], r["razao_social"], r["ente_federativo_responsavel"]) for r in got) == want
     assert all(r[delimited.CORRUPT] is None for r in got)
@@ -142,10 +142,8 @@ def test_undecodable_bytes_are_replaced(spark, tmp_path):
     ('"a\nb"\n', True, False), ('"a\rb"', True, False), ('"a"\n"b', False, True), ("", False, False), ('"x\n', True, True),
 ])
 def test_quote_state(text, multiline, never_ends, size):
-    state = archives.QuoteState()
-    for i in range(0, len(text), size):
-        state.feed(text[i:i + size].encode())
-    assert (state.multiline, state.open) == (multiline, never_ends)
+    state = content.content_of(text[i:i + size].encode() for i in range(0, len(text), size))
+    assert (state.multiline, state.unterminated) == (multiline, never_ends)
 
 
 def test_load_takes_the_manifest_at_its_word(spark, tmp_path):
@@ -212,7 +210,7 @@ def test_members_of_one_name_are_all_extracted(spark, tmp_path):
     listed = spark.createDataFrame([(f"{tmp_path}/zip/{f}/a.zip",) for f in "pq"], "path string")
     done = archives.extract(listed, str(tmp_path / "csv")).collect()
     assert [r["status"] for r in done] == ["extracted"] * 3
-    assert sorted(open(r["out_path"]).read() for r in done) == ["1", "2", "3"]
+    assert sorted(open(files.resolve(r["out_path"])[1]).read() for r in done) == ["1", "2", "3"]
 
 
 def test_damaged_member_is_reported(spark, tmp_path):
@@ -261,15 +259,15 @@ def test_ingest_end_to_end(spark, tmp_path):
         return ingest.run_ingest(spark, str(source), str(tmp_path / "work"), str(tmp_path / "out"), run_id, **options)
 
     for run_id in ("r1", "r2"):  # publishing twice gives the same tables
-        _, report, done = run(run_id)
+        _, report, done, _ = run(run_id)
         assert {r["file"]: (r["layout"], r["rows"], r["rejected"], r["status"]) for r in report.collect()} == {
             "Empresas0_K3241.EMPRECSV.csv": ("empresas", 2, 2, "ok"),
             "Empresas0_K3242.EMPRECSV.csv": ("empresas", 1, 0, "ok"),
             "Estabelecimentos0_K1.ESTABELE.csv": ("estabelecimento", 4, 0, "ok"),
             "Municipios_F.MUNICCSV.csv": ("municipio", 1, 0, "ok"),
         }
-        assert {r["table"] for r in done.where("action = 'promoted'").collect()} == {"empresas", "estabelecimento", "municipio"}
-        assert {r["error"] for r in done.where("action = 'skipped'").collect()} == {"nothing staged"} and done.count() == 10
+        assert {r["table"] for r in done.where("action = 'promoted'").collect()} == {"empresas", "estabelecimento", "municipio", "quarantine"}
+        assert {r["error"] for r in done.where("action = 'skipped'").collect()} == {"nothing staged"} and done.count() == 11
         fact = spark.table("curated.estabelecimento")
         assert dict(fact.dtypes)["data_inicio_atividades"] == "date"
         assert sorted((r[0] for r in fact.select("data_inicio_atividades").collect()), key=str) == [
@@ -294,7 +292,7 @@ def test_ingest_end_to_end(spark, tmp_path):
     spark.sql("drop database warehouse cascade")
 
     # rejected rows clear the gate when asked to; nothing is published then
-    _, report, done = run("r3", strict=True)
+    _, report, done, _ = run("r3", strict=True)
     assert {r["action"] for r in done.collect()} == {"skipped"}
     assert spark.table("curated.empresas").count() == 3
     assert "rejected rows" in {r["status"] for r in report.collect()}
@@ -302,12 +300,12 @@ def test_ingest_end_to_end(spark, tmp_path):
     # so does a file nobody knows, unless allowed
     run("r4", strict=True)
     write(tmp_path / "work" / "csv" / "r4", "foo.csv", "a;b\n")
-    manifest, report, done = run("r4")
+    manifest, report, done, _ = run("r4")
     assert {r["status"] for r in manifest.collect()} == {"exists"}
     assert {r["status"] for r in report.collect()} == {"ok", "unknown layout"}
     assert {r["action"] for r in done.collect()} == {"skipped"}
-    _, _, done = run("r4", allow_unknown=True)
-    assert done.where("action = 'promoted'").count() == 3
+    _, _, done, _ = run("r4", allow_unknown=True)
+    assert done.where("action = 'promoted'").count() == 4
 
 
 def test_malformed_rows_are_set_aside(spark, tmp_path):
