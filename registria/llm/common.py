@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -16,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or a new one for a local session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="registria-llm-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -88,7 +89,25 @@ def running(df: DataFrame, group: str, bucket: Column, order: list[str], value:
     )
 
 
-def without(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """``docs`` less the documents whose verdict is not ``kept``; rows without an id stay."""
-    gone = verdicts.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` stored with a number for every row, and the column's name, which no other column has."""
+    row = f"_row_{uuid.uuid4().hex}"
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
+
+
+def one_of_each(docs: DataFrame, grouped: Callable[[DataFrame], DataFrame], group: str, largest: bool = False) -> DataFrame:
+    """``docs`` with one row of each group: the one with the smallest (or largest) id; columns as they are.
+
+    ``grouped`` gets (doc_id, text), with row numbers for ids, and returns ``doc_id`` and the column ``group``. Rows are told
+    apart by number: an id given twice with different texts loses neither, and of rows that
+    repeat entirely one stays. A row without an id stays only where no row of its group has one.
+    """
+    rows, row = numbered(docs)
+    ids = rows.select(F.col(row).alias("_row"), F.col("doc_id").cast("long").alias("_id"))
+    found = grouped(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), F.col(group).alias("_group"))
+    known, of_id = F.col("_id").isNotNull().cast("int"), F.coalesce("_id", F.lit(0))
+    order = F.struct((-known).alias("a"), (-of_id if largest else of_id).alias("b"), F.col("_row").alias("stays"))
+    placed = stored(found.join(ids, "_row").select("_row", "_group", order.alias("_o")), "groups")
+    best = placed.groupBy("_group").agg(F.min("_o").alias("_m"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    gone = placed.join(best, "_group").where("_row <> _m.stays").select(F.col("_row").alias(row))
+    return rows.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import without
+from .common import one_of_each
 
 KEY = ["digest", "n_bytes", "check"]
 
@@ -71,8 +71,12 @@ def exact_dedup(docs: DataFrame, keep: str = "max", levels: int = 2, bits: int =
 
 
 def deduplicated(docs: DataFrame, keep: str = "max") -> DataFrame:
-    """``docs`` with one document of each group of equal texts; columns as they are."""
-    return without(docs, exact_dedup(docs, keep))
+    """``docs`` with one row of each group of equal texts, that of the largest (smallest) id; columns as they are.
+
+    Null texts equal empty ones. Of rows that repeat id and text one stays, a row without an id only if
+    its group has none with one. An empty table stays empty.
+    """
+    return one_of_each(docs, lambda rows: exact_dedup(rows, keep), "keep_id", largest=keep == "max")
 
 
 ORACLE = """

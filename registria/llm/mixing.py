@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import hex_bucket, running, shuffle_key, source_key, stored
+from .common import hex_bucket, numbered, running, shuffle_key, source_key, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 CYCLE = (5, 2, 1)
@@ -142,24 +142,28 @@ def mix_digest(docs: DataFrame, block: int = 1024, seed: str = "mix", total_shar
 
 
 def mixed_documents(docs: DataFrame, block: int = 1024, seed: str = "mix", total_share: float = 1.5, most: int = 2) -> DataFrame:
-    """The mix as documents: a row for each pass that takes words of one; columns as they are.
+    """The mix as documents, in the order of the schedule: a row for each pass that takes words of one; columns as they are.
 
-    Documents that the mix does not take are absent. The one at the end of a source's target is
-    cut after the words taken (and ``n_chars``, if there is one, is counted again).
+    Rows are sorted over all partitions by the slot in which they begin, so any stretch is near the weights.
+    Documents that the mix does not take are absent, so are null texts and texts without
+    words. The one at the end of a source's target is
+    cut after the words taken (and ``n_chars``, if there is one, is counted again). Null sources are one
+    source; rows that repeat are documents of their own; an empty table stays empty.
     """
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-documents")
+    rows, row = numbered(docs)
+    words, size, slot = f"{row}_words", f"{row}_size", f"{row}_slot"
     taken = (
-        _pieces(rows, block, seed, total_share, most, "_row").where("slot is not null")
-        .groupBy(F.col("row").alias("_row"), "pass").agg(F.sum("length").alias("_words"), F.max("size").alias("_size"))
+        _pieces(rows, block, seed, total_share, most, row).where("slot is not null")
+        .groupBy(F.col("row").alias(row), "pass").agg(F.sum("length").alias(words), F.max("size").alias(size), F.min("slot").alias(slot))
         .drop("pass")
     )
-    cut = F.expr(r"array_join(slice(split(text, '(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])'), 1, cast(_words as int)), '')")
-    partial = F.col("_words") < F.col("_size")
-    out = rows.join(taken, "_row").withColumn("text", F.when(partial, cut).otherwise(F.col("text")))
+    cut = F.expr(rf"array_join(slice(split(text, '(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])'), 1, cast(`{words}` as int)), '')")
+    partial = F.col(words) < F.col(size)
+    out = rows.join(taken, row).orderBy(slot, row).withColumn("text", F.when(partial, cut).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(partial, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE = r"""

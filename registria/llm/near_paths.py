@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import dropped, stored, without
+from .common import dropped, one_of_each, stored
 from .components import LEAST_TASKS, components
 from .toxicity import sliced
 
@@ -394,8 +394,12 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component; columns as they are."""
-    return without(docs, near_dedup(docs))
+    """``docs`` with one row of each component, that of the smallest id; columns as they are.
+
+    Null texts and texts without words are linked with nothing and stay. Of rows that repeat id and text one
+    stays, a row without an id only if its component has none with one. An empty table stays empty.
+    """
+    return one_of_each(docs, near_dedup, "component_id")
 
 
 ORACLE = r"""

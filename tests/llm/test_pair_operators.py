@@ -1,14 +1,15 @@
 """Near dedup and top-k search against brute force; the large-node and large-cluster ways too."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from registria.llm import near_paths, topk_blocks
+from registria.llm import dedup_tree, near_paths, topk_blocks
 from registria.llm.components import components
 
-from .fixtures import no_docs, odd_docs, odd_rows, rows_of
+from .fixtures import SCHEMA, no_docs, odd_docs, odd_rows, rows_of
 
 
 def shingles(text) -> set:
@@ -132,3 +133,24 @@ def test_components_of_chains_and_stars(spark):
             part = {x: low if y == high else y for x, y in part.items()}
     assert dict(components(spark.createDataFrame(links, "a long, b long")).collect()) == part
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+REPEATS = [(2, "y"), (2, "x"), (3, "x"), (3, "x"), (5, "z"), (None, "z"), (None, "only here"), (None, "only here"), (7, None), (8, ""), (9, "z")]
+
+
+@pytest.mark.parametrize("keep", ["max", "min"])
+def test_exact_dedup_keeps_one_row_of_each_text(spark, keep):
+    rows = [(i, t, None, "s", 0, 0, 0, False, "n") for i, t in REPEATS]
+    got = Counter((r["doc_id"], r["text"]) for r in rows_of(dedup_tree.deduplicated(spark.createDataFrame(rows, SCHEMA).repartition(4), keep)))
+    ends = {"max": [(2, "y"), (3, "x"), (9, "z"), (None, "only here"), (8, "")], "min": [(2, "y"), (2, "x"), (5, "z"), (None, "only here"), (7, None)]}
+    assert got == Counter(ends[keep])
+
+
+def test_near_dedup_keeps_one_row_of_each_component(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    texts = [(4, base), (4, base + " tail"), (4, "another text of its own altogether"), (6, base), (6, base), (None, base), (None, "no id no link at all here"), (1, None), (1, " ")]
+    rows = [(i, t, None, "s", 0, 0, 0, False, "n") for i, t in texts]
+    got = Counter((r["doc_id"], r["text"]) for r in rows_of(near_paths.deduplicated(spark.createDataFrame(rows, SCHEMA).repartition(4))))
+    of_base = [k for k in got if k[1] and k[1].startswith(base)]
+    assert len(of_base) == 1 and of_base[0][0] == 4
+    assert got - Counter(of_base) == Counter([(4, "another text of its own altogether"), (None, "no id no link at all here"), (1, None), (1, " ")])

@@ -107,3 +107,22 @@ def test_mix_is_even_all_along(spark):
     for stretch in (slots[:200], slots[100:300], slots[200:]):
         here = Counter(s for _, s in stretch)
         assert all(abs(here[s] / len(stretch) - total[s] / len(slots)) < 0.05 for s in total)
+
+
+def test_mixed_documents_follow_the_schedule(spark):
+    """Rows come in the order of their slots, so every stretch of the mix is near the weights; odd names and rows do no harm."""
+    docs = spark.range(0, 3000).selectExpr(
+        "id as doc_id", "repeat('w ', 60) as text", "case when id % 3 = 0 then 'hot' else 's' || (id % 4) end as source",
+        "'x' as _row", "1 as _words", "2 as _size", "3 as slot", "'k' as source_key", "4 as `a.b`")
+    mixed = mixing.mixed_documents(docs.repartition(7), block=120)
+    assert mixed.columns == docs.columns
+    got = [r["source"] for r in mixed.collect()]
+    total = Counter(got)
+    for i in range(0, len(got) - 400, 400):
+        here = Counter(got[i : i + 400])
+        assert all(abs(here[s] / 400 - total[s] / len(got)) < 0.08 for s in total)
+    rows = mixing.mixed_documents(odd_docs(spark), block=64)
+    taken = {r["doc_id"]: r["taken"] for r in rows_of(mixing.mix_digest(odd_docs(spark), block=64))}
+    assert sum(len(re.findall(r"[^\x20\x09-\x0D]+", r["text"])) for r in rows.collect()) == sum(
+        r["taken"] for r in rows_of(mixing.mix_digest(odd_docs(spark), block=64))) and taken
+    assert mixing.mixed_documents(no_docs(spark)).count() == 0
