@@ -242,17 +242,16 @@ def test_spelling_variants(spark, at_least, frequent):
     assert spelling.spelling_variants(no_docs(spark)).count() == 0
 
 
-def test_lists_to_merge_are_few_and_enough(spark):
-    """Every word merges at most one list a place, and two of its grams or more survive any edit."""
-    words = spark.createDataFrame([(w, 1) for w in plain_words(spelling_rows(), 1) if len(w) < 100], "word string, n long")
-    index = spelling.gram_index(words, frequent=3).cache()
-    by, lists = defaultdict(list), Counter()
-    for r in index.collect():
-        by[r["word"]].append(r)
-        lists[r["word"]] += 0
-    for r in spelling._lists_to_merge(index).collect():
-        lists[r["word"]] += 1
-    for word, grams in by.items():
-        own = [g for g in grams if g["side"] == 0]
-        affected = max(sum(g["at"] <= i < g["upto"] for g in own) for i in range(1, len(word) + 1))
-        assert 1 <= lists[word] <= len(word) and affected <= spelling.LONGEST_GRAM and len(own) - affected >= 2
+@pytest.mark.parametrize("frequent", [0, 3, 64])
+def test_lists_to_merge_are_few_and_enough(spark, frequent):
+    """A word merges at most one list a place, two of its grams or more survive any edit, and every near word is in a list."""
+    words = [w for w in plain_words(spelling_rows(), 1) if len(w) < 100]
+    grams = spelling.gram_dictionary(spark.createDataFrame([(w, 1) for w in words], "word string, n long"), frequent)
+    assert all(s[:-1] in grams.stems for s in grams.stems if len(s) > 2)  # closed under prefixes
+    held = {w: set(grams.lists(w)) for w in words}
+    for word in words:
+        own = grams.of(word)
+        affected = max(sum(at <= i < upto for at, _, upto in own) for i in range(1, len(word) + 1))
+        lists = grams.to_merge(word)
+        assert 1 <= len(lists) <= len(word) and 0 not in lists and affected <= spelling.LONGEST_GRAM and len(own) - affected >= 2
+        assert all(lists & held[v] for v in words if v != word and abs(len(v) - len(word)) <= 1 and one_edit(word, v))
