@@ -34,8 +34,7 @@ STATES = [
 
 def state_of(key: str) -> str:
     """A state by the key's remainder; one remainder has none and gives a blank."""
-    cases = " ".join(f"when {i} then '{state}'" for i, state in enumerate(STATES))
-    return f"case {key} % {len(STATES) + 1} {cases} else '' end"
+    return f"split_part('{','.join(STATES)},', ',', cast({key} % {len(STATES) + 1} as int) + 1)"
 
 
 UF_BASE: Columns = [
