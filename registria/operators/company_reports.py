@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import clean, formats, regions
 from ..session import checkpointed
 from .joins import left_dim_unknown
-from .quantile import weighted_percentile
+from .quantile import weighted_percentile, weighted_percentiles
 from .scope import Day, distinct_companies, in_range, prepare_fact
 from .sets import union_parts
 from .state_reports import count_if, region_rate, rows
@@ -137,8 +137,15 @@ def winsorized_capital(
     return _winsorized(capital_histogram(presence(fact, start, end), empresas), q)
 
 
+def capital_percentiles(
+    fact: DataFrame, empresas: DataFrame, start: Day, end: Day, qs: Sequence[str] = ("0.25", "0.50", "0.90")
+) -> DataFrame:
+    """``uf, n, q, p``: percentiles of capital per state, all of them from one histogram."""
+    hist = capital_histogram(presence(fact, start, end), empresas)
+    return weighted_percentiles(hist, "uf", "cap", "times", qs).withColumnRenamed("rows", "n")
+
+
 def _winsorized(hist: DataFrame, q: str) -> DataFrame:
-    hist = checkpointed(hist)  # read once per digit of the percentile and once to average
     cut = weighted_percentile(hist, "uf", "cap", "times", q)
     cap, times = F.least(F.col("cap").cast("double"), F.col("p")), F.col("times").cast("double")
     return (

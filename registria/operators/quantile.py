@@ -1,73 +1,89 @@
 """Exact continuous percentiles of money per group, at any group size.
 
 Spark's own exact ``percentile`` keeps all distinct values of a group in one
-task. Here the wanted ranks are located digit by digit: cents are read as three
-digits of base ten million, each pass counts the rows per digit and keeps only
-the digit that holds the rank. No window sees more than ten million rows.
+task. Here each amount falls into a range of amounts, those that agree in number of
+digits and in the leading ones. Ranges are counted first; running offsets over them tell which
+range holds a rank, and only the amounts of those ranges are looked at again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BASE = 10_000_000
 RANK = "decimal(38,0)"  # weights may be products of counts, beyond a long
+LEADING = 5
 
 
-def _digits(value: Column) -> list[Column]:
-    cents = (value * 100).cast("decimal(20,0)")
-    high = F.floor(cents / F.lit(BASE * BASE).cast("decimal(15,0)")).cast("bigint")
-    low = (cents - high.cast("decimal(20,0)") * F.lit(BASE * BASE).cast("decimal(15,0)")).cast("bigint")
-    return [high, F.floor(low / BASE).cast("bigint"), F.pmod(low, F.lit(BASE)).cast("bigint")]
+def amount_range(value: Column) -> Column:
+    """A number that never falls as the amount rises: digits of the cents and the first ``LEADING`` of them.
 
+    There are 90,000 ranges for each power of ten, so a window over the ranges of a group
+    has two million rows at most. Amounts below ten billion share theirs with fewer than
+    ten million others, larger ones with those of the same leading digits.
+    """
+    cents = F.abs(value * 100).cast("decimal(20,0)").cast("string")
+    size = F.length(cents) * F.lit(10**LEADING) + F.substring(cents, 1, LEADING).cast("int")
+    signed = F.when(value < 0, -size).when(value == 0, F.lit(0)).otherwise(size)
+    return F.coalesce(signed.cast("long"), F.lit(0).cast("long"))
 
-def weighted_percentile(hist: DataFrame, group: str, value: str, weight: str, q: str) -> DataFrame:
-    """``(group, rows, p)``: the ``q`` percentile with linear interpolation.
 
-    ``hist`` holds one row per distinct ``(group, value)`` with the number of
-    times it occurs; ``q`` is a decimal such as ``"0.90"``. ``hist`` is read once
-    per digit, so pass one that is cheap to read again (stored or checkpointed).
+def _shares(qs: Sequence[str]) -> list[Decimal]:
+    shares = [Decimal(q) for q in qs]
+    if any(not 0 <= s <= 1 or s != round(s, 10) for s in shares):
+        raise ValueError("q must lie between 0 and 1 and have ten decimal places at most")
+    return shares
+
+
+def weighted_percentiles(hist: DataFrame, group: str, value: str, weight: str, qs: Sequence[str]) -> DataFrame:
+    """``(group, rows, q, p)``: percentiles with linear interpolation, a row for every group and ``q``.
+
+    ``hist`` holds one row per distinct ``(group, value)``, neither of them null, with the number of
+    times it occurs; each ``q`` is a decimal such as ``"0.90"``. Nothing runs until the result is read.
+    ``hist`` is mentioned twice; where it ends in an aggregation by group and value, both
+    mentions read one exchange.
     """
-    d1, d2, d3 = _digits(F.col(value))
+    places = F.array(*[
+        F.struct(F.lit(q).alias("q"), F.lit(end).alias("end"), F.lit(share).cast("decimal(11,10)").alias("share"))
+        for q, share in zip(qs, _shares(qs)) for end in ("low", "high")
+    ])
     counts = hist.select(
-        F.col(group), F.col(weight).cast(RANK).alias("_w"), d1.alias("_d1"), d2.alias("_d2"), d3.alias("_d3")
+        F.col(group), F.col(value).alias("_value"), F.col(weight).cast(RANK).alias("_n"), amount_range(F.col(value)).alias("_range")
     )
-    share = Decimal(q)
-    if not 0 <= share <= 1 or share != round(share, 10):
-        raise ValueError("q must lie between 0 and 1 and have ten decimal places at most")
-    position = (F.col("rows") - 1).cast("decimal(26,0)") * F.lit(share).cast("decimal(11,10)")
-    wanted = F.explode(F.array(
-        F.struct(F.lit("lo").alias("at"), F.floor(position).cast(RANK).alias("rank")),
-        F.struct(F.lit("hi").alias("at"), F.ceil(position).cast(RANK).alias("rank")),
-    ))
-
-    def holding_rank(counted: DataFrame, upto: Column) -> DataFrame:
-        """The digit whose rows include the rank, and the rank among those rows."""
-        before = F.col("_upto") - F.col("_n")
-        return (
-            counted.withColumn("_upto", upto)
-            .where((F.col("_rank") >= before) & (F.col("_rank") < F.col("_upto")))
-            .withColumn("_rank", (F.col("_rank") - before).cast(RANK)).drop("_upto", "_n")
-        )
-
-    top = counts.groupBy(group, "_d1").agg(F.sum("_w").alias("_n"))
-    top = top.withColumn("rows", F.sum("_n").over(Window.partitionBy(group))).withColumn("_want", wanted)
-    top = top.select(group, "_d1", "_n", "rows", F.col("_want.at").alias("_at"), F.col("_want.rank").alias("_rank"))
-    found = holding_rank(top, F.sum("_n").over(Window.partitionBy(group, "_at").orderBy("_d1")))
-    for known, digit in ((["_d1"], "_d2"), (["_d1", "_d2"], "_d3")):
-        below = (
-            counts.join(found, [group, *known])
-            .groupBy(group, "rows", "_at", "_rank", *known, digit).agg(F.sum("_w").alias("_n"))
-        )
-        found = holding_rank(below, F.sum("_n").over(Window.partitionBy(group, "_at").orderBy(digit)))
-
-    cents = (F.col("_d1").cast("decimal(20,0)") * BASE + F.col("_d2")) * BASE + F.col("_d3")
-    amount = (cents.cast("decimal(20,0)") / 100).cast("double")
+    whole = Window.partitionBy(group)
+
+    def rank(place: Column) -> Column:
+        position = (F.col("rows") - 1).cast("decimal(26,0)") * place["share"]
+        return F.when(place["end"] == "low", F.floor(position)).otherwise(F.ceil(position)).cast(RANK)
+
+    ranges = (
+        counts.groupBy(group, "_range").agg(F.sum("_n").alias("_in"))
+        .withColumn("_upto", F.sum("_in").over(whole.orderBy("_range")))
+        .withColumn("rows", F.sum("_in").over(whole))
+        .withColumn("_before", F.col("_upto") - F.col("_in"))
+    )
+    # (group, range) that hold a rank, with the ranks in them: two for every q and group at most
+    held = ranges.withColumn(
+        "_held", F.filter(places, lambda place: (rank(place) >= F.col("_before")) & (rank(place) < F.col("_upto")))
+    ).where(F.size("_held") > 0).select(group, "_range", "rows", "_before", "_held")
+    upto = F.sum("_n").over(Window.partitionBy(group, "_range").orderBy("_value")) + F.col("_before")
+    found = counts.join(held, [group, "_range"]).withColumn("_upto", upto).withColumn(
+        "_place",
+        F.explode(F.filter("_held", lambda place: (rank(place) >= F.col("_upto") - F.col("_n")) & (rank(place) < F.col("_upto")))),
+    )
+    amount = F.col("_value").cast("double")
+    low, high = (F.max(F.when(F.col("_place.end") == end, amount)) for end in ("low", "high"))
+    position = (F.col("rows") - 1).cast("decimal(26,0)") * F.col("_share")
     fraction = (position - F.floor(position)).cast("double")
-    low, high = (F.max(F.when(F.col("_at") == at, amount)) for at in ("lo", "hi"))
     return (
-        found.groupBy(group, "rows").agg(low.alias("_low"), high.alias("_high"))
-        .select(group, "rows", (F.col("_low") + (F.col("_high") - F.col("_low")) * fraction).alias("p"))
+        found.groupBy(group, "rows", F.col("_place.q").alias("q"), F.col("_place.share").alias("_share"))
+        .agg(low.alias("_low"), high.alias("_high"))
+        .select(group, "rows", "q", (F.col("_low") + (F.col("_high") - F.col("_low")) * fraction).alias("p"))
     )
+
+
+def weighted_percentile(hist: DataFrame, group: str, value: str, weight: str, q: str) -> DataFrame:
+    """``(group, rows, p)``: one percentile of ``weighted_percentiles``."""
+    return weighted_percentiles(hist, group, value, weight, [q]).drop("q")

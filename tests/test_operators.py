@@ -212,6 +212,32 @@ def test_percentile_of_any_amount(spark, q):
         assert row["p"] == pytest.approx(want) and row["rows"] == len(values[row["g"]])
 
 
+def test_percentiles_of_a_state_with_most_amounts(spark):
+    """All q at once; one state holds most rows, and one range of amounts most of these."""
+    rng = random.Random(11)
+    values = {
+        "SP": [Decimal(rng.choice([rng.randrange(1000000, 1000010), 500, rng.randrange(10**9)])) / 100 for _ in range(3000)],
+        "AC": [Decimal(7)] * 3,
+    }
+    hist = [(g, v, n) for g, vs in values.items() for v, n in Counter(vs).items()]
+    df = spark.createDataFrame(hist, "g string, v decimal(20,2), n long")
+    qs = ["0.1", "0.5", "0.9", "0.90"]
+    got = {(r["g"], r["q"]): (r["rows"], r["p"]) for r in quantile.weighted_percentiles(df, "g", "v", "n", qs).collect()}
+    assert set(got) == {(g, q) for g in values for q in qs}
+    for (g, q), (rows, p) in got.items():
+        assert rows == len(values[g]) and p == pytest.approx(np.percentile([float(v) for v in values[g]], float(q) * 100))
+    assert quantile.weighted_percentiles(df.where("false"), "g", "v", "n", qs).count() == 0
+    with pytest.raises(ValueError):
+        quantile.weighted_percentiles(df, "g", "v", "n", ["1.5"])
+
+
+def test_amount_ranges_never_fall(spark):
+    cents = sorted({s * (10**e + d) for e in range(18) for d in (-1, 0, 1, 7) for s in (-1, 1)})
+    df = spark.createDataFrame([(Decimal(c) / 100,) for c in cents], "v decimal(20,2)")
+    got = [r[0] for r in df.select(quantile.amount_range(F.col("v"))).collect()]
+    assert got == sorted(got) and len(set(got)) > 60
+
+
 def test_row_numbers_with_hot_group_and_ties(spark):
     rng = random.Random(5)
     rows = [("SP" if i % 3 else rng.choice(["RJ", None]), f"city{i:04}", rng.randrange(4)) for i in range(3000)]

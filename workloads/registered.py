@@ -676,7 +676,16 @@ def _(t):
     return by_state.select("uf", F.col("n").cast("bigint").alias("n"), F.round("p90", 2).alias("p90"), F.round("avg_cap_w", 2).alias("avg_cap_w"))
 
 
-@query("region_capital", "region_cap", "select region, round(avg_cap, 2) as avg_cap from region_cap")
+@query("capital_percentiles", "capital", """
+select uf, n, q, round(p, 2) as p from (
+  select uf, count(*) as n, unnest(['0.25', '0.50', '0.999']) as q, unnest(quantile_cont(cast(cap as double), [0.25, 0.5, 0.999])) as p
+  from capital where cap is not null group by uf)""")
+def _(t):
+    found = company_reports.capital_percentiles(t.fact, t.emp, *RANGE, ["0.25", "0.50", "0.999"])
+    return found.select("uf", F.col("n").cast("bigint").alias("n"), "q", F.round("p", 2).alias("p"))
+
+
+@query("region_capital", "region_cap","select region, round(avg_cap, 2) as avg_cap from region_cap")
 def _(t):
     by_state = company_reports.winsorized_capital(t.fact, t.emp, *RANGE)
     return company_reports.region_capital(by_state).withColumn("avg_cap", F.round("avg_cap", 2))
