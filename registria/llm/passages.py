@@ -19,6 +19,7 @@ WINDOW, GRAM = 20, 6
 # A shard's automaton holds about so many windows; a task streams about so many words past one.
 WINDOWS_PER_SHARD, WORDS_PER_TASK = 40_000, 1_000_000
 BLOCK = 100_000  # words of a text that may go to one shard
+SALTS = 64
 
 
 def _ordered(docs: DataFrame) -> DataFrame:
@@ -200,8 +201,10 @@ def _repeats(texts: DataFrame, window: int, gram: int) -> DataFrame:
     placed = stored(runs.select("value", "ord", "at", "n").join(again.select("value", shard.alias("shard")), "value").drop("value"), "passage-places")
     dropped(runs)
     dropped(again)
-    parts = placed.groupBy("shard").agg(F.ceil(F.sum("n") / WORDS_PER_TASK).alias("parts"))
-    per_text = placed.join(parts, "shard").groupBy("ord").agg(F.sort_array(F.collect_list(F.struct("at", "n", "shard", "parts"))).alias("runs"))
+    # a shard may hold much of all rows, so its texts meet one of several copies of its row
+    parts = placed.groupBy("shard").agg(F.ceil(F.sum("n") / WORDS_PER_TASK).alias("parts")).withColumn("salt", F.explode(F.expr(f"sequence(0, {SALTS - 1})")))
+    salted = placed.withColumn("salt", F.pmod(F.xxhash64("ord", "at"), F.lit(SALTS)).cast("int"))
+    per_text = salted.join(parts, ["shard", "salt"]).groupBy("ord").agg(F.sort_array(F.collect_list(F.struct("at", "n", "shard", "parts"))).alias("runs"))
     slices = texts.select("ord", "text").join(per_text, "ord").mapInArrow(_cut_slices(window), "shard long, parts long, ord long, at long, text binary")
     slices = stored(slices.withColumn("part", F.pmod(F.xxhash64("ord"), "parts")).repartition("shard", "part"), "passage-slices")
     dropped(placed)
