@@ -1,5 +1,6 @@
 """Near dedup and top-k search against brute force; the large-node and large-cluster ways too."""
 
+import math
 import random
 from collections import Counter
 
@@ -122,6 +123,30 @@ def test_top_k_of_repeated_rows(spark, monkeypatch, cell):
     assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in got} == want
 
 
+@pytest.mark.parametrize("big", [2.0**21, 2.0**40, 2.0**50])
+def test_top_k_of_wide_vectors(spark, big):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(60)] + [(60 + i, [float(x) for x in big * rng.normal(size=6)]) for i in range(12)]
+    rows += [(1, [big] * 6), (2, [-big] * 6), (2, [-big] * 6), (100, []), (101, []), (102, [])]
+    got = rows_of(topk_blocks.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=50, k=5))
+    whole, best = [(i, [math.floor(256 * x) for x in v]) for i, v in rows], {}
+    for q, v in whole:
+        for i, w in whole:
+            if q % 50 == 0 and i != q and len(v) == len(w):
+                best[q, i] = max(best.get((q, i), -2**200), sum(a * b for a, b in zip(v, w)))
+    want = {}
+    for q in (0, 50, 100):
+        order = sorted((i for a, i in best if a == q), key=lambda i: (-best[q, i], i))[:5]
+        want |= {(q, n + 1): (i, max(-2**63, min(2**63 - 1, best[q, i]))) for n, i in enumerate(order)}
+    assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in got} == want
+    # queries as wide as the rows: exact order beyond a long
+    wide = np.array([[math.floor(256 * x) for x in v] for _, v in rows[60:72]], float)
+    ids = np.arange(12)
+    for i, j, scores in topk_blocks.best_in_cell(wide, ids + 100, wide, ids, 3):
+        for a, b, s in zip(i, j, scores):
+            assert s == sum(int(x) * int(y) for x, y in zip(wide[a], wide[b]))
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(200)] + [(7, 7), (5000, 5000), (1001, 1000)]
