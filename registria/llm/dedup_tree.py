@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import one_of_each
@@ -24,32 +26,43 @@ def _digit(number: Column, level: int, bits: int) -> Column:
     return F.shiftright(number, level * bits).bitwiseAND((1 << bits) - 1)
 
 
-def merged_runs(rows: DataFrame, keep: str = "max", levels: int = 2, bits: int = 4) -> DataFrame:
+def tree_levels(partitions: int, bits: int) -> int:
+    """Rounds after which there is a node for each of ``partitions``."""
+    return max(1, -(-math.ceil(math.log2(max(partitions, 2))) // bits))
+
+
+def merged_runs(rows: DataFrame, keep: str = "max", levels: int | None = None, bits: int = 4) -> DataFrame:
     """One row per distinct text: its key, the id that stays and the number of rows.
 
-    Every partition begins as a run of one node. In round ``r`` the ``2**bits`` nodes
-    that differ only in digit ``r`` of their number exchange slices of their runs: a
-    row goes to the one whose digit ``r`` equals digit ``r`` of its digest. So a node
-    merges ``2**bits`` sorted runs at once, and after the last round equal digests are in
-    one node. Each round aggregates before it sends (a run holds a digest once, however
-    many copies there are) and Spark sorts and merges the runs by key, because the
-    record that is kept is a struct. Digest, length and second hash are compared at
-    every merge; the record with the wanted id survives.
+    There are ``2**(bits * levels)`` nodes, one for each shuffle partition unless ``levels`` says otherwise, and
+    each stands for a part of the input. A keyed aggregation first combines the copies within a part, so a run holds a digest
+    once, however often it occurs. From the first round on the run of node ``k`` is partition ``k``. In round ``r`` the ``2**bits`` nodes that differ only in digit ``r`` of
+    their number are partners and exchange slices of their runs (with ``bits=1`` the pairs of a
+    binomial exchange): a row goes to the partner whose digit ``r`` equals digit ``r`` of its digest.
+    Rows move by node alone, so a run lies in one place; it is sorted by key there and equal digests,
+    one from each partner at most, are merged in that order. After the last round equal digests are in one node.
+    Digest, length and second hash are compared at every merge; the record with the wanted id survives.
     """
-    best = F.max if keep == "max" else F.min
-    slot = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long")
-    runs = rows.select(
-        (F.spark_partition_id() % (1 << (levels * bits))).cast("long").alias("node"), *KEY,
-        F.struct("doc_id").alias("best"), F.lit(1).cast("long").alias("n"),
+    if levels is None:
+        levels = tree_levels(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), bits)
+    nodes, best = 1 << (levels * bits), F.max if keep == "max" else F.min
+    slot = F.conv(F.hex(F.substring("digest", 1, 6)), 16, 10).cast("long")
+    leaf = F.pmod(F.spark_partition_id(), F.lit(nodes)).cast("int")
+    runs = (
+        rows.select(leaf.alias("node"), *KEY, F.struct("doc_id").alias("best"), F.lit(1).cast("long").alias("n"))
+        .groupBy("node", *KEY).agg(best("best").alias("best"), F.sum("n").alias("n"))
     )
     for level in range(levels):
         mask = ((1 << bits) - 1) << (level * bits)
         moved = F.col("node").bitwiseAND(~mask) + F.shiftleft(_digit(slot, level, bits), level * bits)
-        runs = runs.groupBy(moved.alias("node"), *KEY).agg(best("best").alias("best"), F.sum("n").alias("n"))
+        runs = (
+            runs.withColumn("node", moved.cast("int")).repartitionById(nodes, "node").sortWithinPartitions("node", *KEY)
+            .groupBy("node", *KEY).agg(best("best").alias("best"), F.sum("n").alias("n"))
+        )
     return runs.select(*KEY, F.col("best.doc_id").alias("keep_id"), F.col("n").alias("group_size"))
 
 
-def exact_dedup(docs: DataFrame, keep: str = "max", levels: int = 2, bits: int = 4) -> DataFrame:
+def exact_dedup(docs: DataFrame, keep: str = "max", levels: int | None = None, bits: int = 4) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Only the id and the text are read, so extra columns of any name do no harm. Null

@@ -33,6 +33,17 @@ def test_dedup_tree_levels_do_not_matter(spark):
     assert runs[0] == runs[1] == runs[2]
 
 
+def test_dedup_tree_moves_runs_between_partners(spark):
+    """Every round sends rows by node alone, to the partition of that number, and merges them where they arrive."""
+    rows = dedup_tree.digests(odd_docs(spark).repartition(9))
+    plan = dedup_tree.merged_runs(rows, levels=3, bits=2)._jdf.queryExecution().executedPlan().toString()
+    moves = re.findall(r"Exchange (\w+)\(([^\n]*)", plan)
+    assert [kind for kind, _ in moves if kind != "RoundRobinPartitioning"] == ["shufflepartitionidpassthrough"] * 3 + ["hashpartitioning"]
+    assert all(", 64)" in by and "digest" not in by for kind, by in moves if kind == "shufflepartitionidpassthrough")
+    assert [dedup_tree.tree_levels(n, 4) for n in (1, 16, 17, 256, 4096)] == [1, 1, 2, 2, 3]
+    assert dedup_tree.tree_levels(200, 1) == 8
+
+
 def test_shards_hold_the_mixture(spark):
     docs = spark.range(0, 3000).selectExpr("id as doc_id", "'t' as text", "case when id % 3 = 0 then 'hot' else 's' || (id % 50) end as source")
     placed = rows_of(sharding.interleaved_shards(docs.repartition(5), 24))
@@ -94,6 +105,15 @@ def test_mix(spark):
         blocks[p["slot"], p["source_key"]] += p["length"]
     assert len({slot for slot, _ in blocks}) == len(blocks)  # a slot has one source
     assert all(n <= 64 for n in blocks.values())
+    slots = defaultdict(list)
+    for p in pieces:
+        slots[p["doc_id"]].append((p["slot"], p["length"]))
+    for r in got:
+        if r["doc_id"] in (None, 103):  # ids that several rows have
+            continue
+        mine = slots[r["doc_id"]]
+        assert r["first_slot"] == min((s for s, _ in mine), default=None) and r["n_pieces"] == len(mine)
+        assert r["slot_words"] == sum(s * n for s, n in mine)
     again = rows_of(mixing.mix_digest(odd_docs(spark).repartition(5), block=64))
     assert sorted(map(str, got)) == sorted(map(str, again))
     assert mixing.mix_digest(no_docs(spark)).count() == 0
