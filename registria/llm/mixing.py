@@ -133,11 +133,19 @@ def mix(docs: DataFrame, block: int = 1024, seed: str = "mix", total_share: floa
 
 
 def mix_digest(docs: DataFrame, block: int = 1024, seed: str = "mix", total_share: float = 1.5, most: int = 2) -> DataFrame:
-    """What the mix takes of every document: doc_id, size, source_size, target, taken."""
+    """What the mix takes of every document, and where: doc_id, size, source_size, target, taken, first_slot, n_pieces, slot_words.
+
+    ``first_slot`` is the slot in which the document begins (null if the mix does not take it), ``n_pieces``
+    the number of its pieces, ``slot_words`` the sum of slot times words over them. A null text has size 0 and
+    nothing taken, null sources are one source, rows that repeat are documents of their own, and an empty table
+    gives an empty result. Only doc_id, source and text are read.
+    """
     pieces = _pieces(docs, block, seed, total_share, most)
     return (
         pieces.groupBy("row", "doc_id", "size", "source_size", "target")
-        .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("taken")).drop("row")
+        .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("taken"), F.min("slot").alias("first_slot"), F.count("slot").alias("n_pieces"),
+             F.coalesce(F.sum(F.col("slot") * F.col("length")), F.lit(0)).alias("slot_words"))
+        .drop("row")
     )
 
 
@@ -181,9 +189,21 @@ f as (select *, cap::double / w <= (words - cap_before) / w_from as is_full from
 t as (select k, source_size, cap, case when is_full then cap::double else w * (
              words - sum(case when is_full then cap else 0 end) over ()) / sum(case when is_full then 0 else w end) over () end as target
       from f),
-q as (select d.*, coalesce(sum(size) over (partition by k order by m, doc_id, size rows between unbounded preceding and 1 preceding), 0) as a from d),
-r as (select q.*, source_size, target, least(floor(target + 0.5)::bigint, cap) as amount from q join t using (k))
-select doc_id, size, source_size, target,
-       (greatest(0, least(a + size, amount) - a) + greatest(0, least(a + size + source_size, amount) - a - source_size))::bigint as taken
-from r
+q as (select row_number() over () as id, d.*, coalesce(sum(size) over (
+          partition by k order by m, doc_id, size rows between unbounded preceding and 1 preceding), 0)::bigint as ahead from d),
+n as (select k, source_size, target, least(floor(target + 0.5)::bigint, cap) as amount from t),
+p as (select *, (amount + 1023) // 1024 as need, coalesce(sum((amount + 1023) // 1024) over (
+          order by k rows between unbounded preceding and 1 preceding), 0)::bigint as late, sum((amount + 1023) // 1024) over ()::bigint as slots from n),
+c as (select k, late::hugeint * 2147483648 // slots as lo, (late + need)::hugeint * 2147483648 // slots as hi from p where need > 0),
+u as (select i as slot, i % 2147483648 * 1327217885 % 2147483648 as u from (select unnest(range((select max(slots) from p))) as i)),
+h as (select slot, k, row_number() over (partition by k order by slot) - 1 as rank from u join c on u >= lo and u < hi),
+b as (select id, k, late, slots, ahead + source_size * pass as a, least(ahead + size + source_size * pass, amount) as b
+      from q join p using (k) cross join (values (0), (1)) as v(pass)),
+e as (select id, k, late, slots, a, b, unnest(range(a // 1024, (b - 1) // 1024 + 1)) as rank from b where b > a),
+g as (select id, coalesce(slot, slots + late + rank) as slot, least(b, (rank + 1) * 1024) - greatest(a, rank * 1024) as length
+      from e left join h using (k, rank)),
+z as (select id, sum(length)::bigint as taken, min(slot)::bigint as first_slot, count(*) as n_pieces, sum(slot * length)::bigint as slot_words
+      from g group by id)
+select doc_id, size, source_size, target, coalesce(taken, 0) as taken, first_slot, coalesce(n_pieces, 0) as n_pieces, coalesce(slot_words, 0) as slot_words
+from q join p using (k) left join z using (id)
 """
