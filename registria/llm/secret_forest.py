@@ -142,7 +142,10 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
-    """Findings that plain rules are sure of: 1 for known formats and named values with a digit, 0 for addresses, numbers and dates."""
+    """Findings that plain rules are sure of: 1 for known formats and values of known names with a digit, 0 for addresses, numbers and dates.
+
+    A known name beats the shape of its value: ``pwd=12345678901`` is a password.
+    """
     text = F.col("candidate")
 
     def any_of(patterns: list[str]) -> Column:
@@ -153,7 +156,20 @@ def rule_labels(found: DataFrame) -> DataFrame:
 
     harmless = any_of(HARMLESS)
     return found.withColumn(
-        "label", F.when(any_of(FORMATS) | (F.col("name").isin(NAMES) & ~harmless & text.rlike("[0-9]")), 1).when(harmless, 0))
+        "label", F.when(any_of(FORMATS) | (F.col("name").isin(NAMES) & text.rlike("[0-9]")), 1).when(harmless, 0))
+
+
+def labelled_by(found: DataFrame, findings: DataFrame) -> DataFrame:
+    """``found`` with the ``label`` of ``findings`` (doc_id, word_index, candidate, label); null where they name none.
+
+    A finding listed twice with both labels counts as a secret; null labels count as none.
+    """
+    known = (
+        findings.where("label in (0, 1)")
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"), F.col("word_index").cast("long").alias("at"), "candidate")
+        .agg(F.max("label").cast("int").alias("label"))
+    )
+    return found.withColumn("at", F.col("at").cast("long")).join(known, ["doc_id", "at", "candidate"], "left")
 
 
 def dictionary(docs: DataFrame, least: int = 5) -> DataFrame:
@@ -254,16 +270,20 @@ def scored(found: DataFrame, forest: Forest) -> DataFrame:
     return forest.trees.transform(_featured(found, forest.odds)).withColumn("score", vector_to_array("probability")[1])
 
 
-def secret_scan(docs: DataFrame, max_rows: int = 20000) -> DataFrame:
+def secret_scan(docs: DataFrame, max_rows: int = 20000, findings: DataFrame | None = None) -> DataFrame:
     """Every candidate of every document: doc_id, word_index, candidate, name, label, held_out, score, predicted.
 
-    Labels come from ``rule_labels``; findings of documents whose crc32(doc_id) is divisible by 5 are not
-    learned from. All work is DataFrame work: extraction, corpus dictionary, joins, trees.
+    Labels come from ``findings`` (doc_id, word_index, candidate, label; what earlier scans returned, reviewed), which
+    may cover any part of the candidates; without them from ``rule_labels``. Findings of documents whose crc32(doc_id) is divisible by 5 are not
+    learned from. All work is DataFrame work: extraction, corpus dictionary, joins, trees. Extraction is stored, since
+    two joins read it.
 
     Null and empty texts have no candidate; null paths are a path of their own; words may have any
     length; repeated rows give their findings again. An empty table gives an empty result. Only doc_id, text and source are read.
     """
-    found = stored(shaped(rule_labels(candidates(docs)), dictionary(docs)), "candidates")
+    raw = stored(candidates(docs), "extracted")
+    raw = rule_labels(raw) if findings is None else labelled_by(raw, findings)
+    found = stored(shaped(raw, dictionary(docs)), "candidates")
     forest = fit(found.where(~held_out(F.col("doc_id"))), max_rows)
     return scored(found, forest).select(
         "doc_id", F.col("at").cast("long").alias("word_index"), "candidate", "name", "label",

@@ -124,6 +124,29 @@ def test_secrets_inside_words(spark, text, want):
     assert {(r["name"], r["candidate"]) for r in rows_of(found)} == want
 
 
+def test_a_known_name_beats_the_shape_of_its_value(spark):
+    texts = ["password=P@ssw0rd1x", "pwd=12345678901", "on 2024-01-02T10:11:12 by", "mail jane.doe99@example.org now"]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    labels = {r["doc_id"]: r["label"] for r in rows_of(secret_forest.rule_labels(secret_forest.candidates(docs)))}
+    assert labels[0] == labels[1] == 1 and labels[2] == 0
+
+
+def test_labelled_findings_decide(spark):
+    """Reviewed findings take the place of the rules, also against them; those not reviewed have no label."""
+    texts = [f"run qz{i:03d}ABCDEFGH today" if i % 2 else f"see 2024-{i:03d}-55555 there" for i in range(200)]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    first = rows_of(secret_forest.secret_scan(docs))
+    reviewed = [(r["doc_id"], r["word_index"], r["candidate"], int(r["candidate"].startswith("qz"))) for r in first if r["doc_id"] < 150]
+    schema = "doc_id long, word_index long, candidate string, label int"
+    findings = spark.createDataFrame(reviewed + reviewed[:3] + [(None, None, None, None), (1, 1, "no such", 1)], schema)
+    got = rows_of(secret_forest.secret_scan(docs, findings=findings))
+    assert len(got) == len(first) == 200
+    assert all(r["label"] == (int(r["candidate"].startswith("qz")) if r["doc_id"] < 150 else None) for r in got)
+    assert all(r["predicted"] == int(r["candidate"].startswith("qz")) for r in got)
+    none = rows_of(secret_forest.secret_scan(docs, findings=spark.createDataFrame([], schema)))
+    assert len(none) == 200 and all(r["label"] is None and r["score"] == 0 for r in none)
+
+
 def test_rare_secrets_are_learned(spark):
     texts = [f"on 2024-01-{i % 28 + 1:02d} came" for i in range(600)]
     for i in range(10, 600, 60):
