@@ -61,7 +61,7 @@ def marked_rows(spark: SparkSession, layout: str, profile: list[tuple[str, str,
     return rows.withColumn("reasons", reasons).withColumn("sound", F.size("reasons") == 0)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     context = spark.sparkContext
     place = context._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
@@ -76,7 +76,7 @@ def stage_file(spark: SparkSession, layout: str, file: Row, facts: Facts, folder
     """
     identity = (file["path"], file["length"], file["modified"], *facts)
     path = f"{folder}/unit={hashlib.sha256(repr(identity).encode()).hexdigest()[:16]}"
-    if not _exists(spark, f"{path}/_SUCCESS"):
+    if not exists(spark, f"{path}/_SUCCESS"):
         marked_rows(spark, layout, [(file["path"], facts.encoding, facts.multiline)]).write.mode("overwrite").partitionBy("sound").parquet(path)
     return path
 
@@ -141,7 +141,7 @@ def load(
     tables, rejected, counts = {}, {}, {}
     extra = [delimited.CORRUPT, delimited.SOURCE, *delimited.PLACE, "reasons", "sound"]
     for layout, paths in units.items():
-        stored = _stored(spark, layout, paths)
+        stored = staged_units(spark, layout, paths)
         per_file = stored.groupBy(delimited.SOURCE).agg(F.count(F.lit(1)).alias("rows"), F.count_if("sound").alias("sound"))
         counted = per_file.collect()
         counts |= {_listed(r[0]): (r["rows"], r["sound"]) for r in counted}
@@ -176,7 +176,7 @@ def load(
     return Staged(tables, rejected, spark.createDataFrame(report, REPORT), ok, aside)
 
 
-def _stored(spark: SparkSession, layout: str, units: list[str]) -> DataFrame:
+def staged_units(spark: SparkSession, layout: str, units: list[str]) -> DataFrame:
     """The marked rows of staged units of a layout."""
     schema = delimited.staged_schema(layout).add("reasons", ArrayType(StringType())).add("sound", BooleanType()).add("unit", StringType())
     folder = units[0].rpartition("/")[0]
@@ -189,7 +189,7 @@ def _set_aside(
     """The quarantine table, and by layout the rows that corrections made sound."""
     found = spark.createDataFrame([], quarantine.COLUMNS)
     for layout, paths in units.items():
-        found = found.unionByName(quarantine.quarantined(_stored(spark, layout, paths), layout, run_id))
+        found = found.unionByName(quarantine.quarantined(staged_units(spark, layout, paths), layout, run_id))
     found = _written(spark, found, f"{staging}/quarantine/found")
     if corrections is None:
         return found, {}

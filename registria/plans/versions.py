@@ -33,7 +33,7 @@ class Version:
         return spark.read.parquet(self.tables[name])
 
 
-def _files(spark: SparkSession, path: str):
+def files_of(spark: SparkSession, path: str):
     context = spark.sparkContext
     place = context._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(context._jsc.hadoopConfiguration()), place
@@ -45,7 +45,7 @@ def _log(root: str) -> str:
 
 def numbers(spark: SparkSession, root: str) -> list[int]:
     """The versions there are, oldest first."""
-    system, place = _files(spark, _log(root))
+    system, place = files_of(spark, _log(root))
     if not system.exists(place):
         return []
     names = (status.getPath().getName() for status in system.listStatus(place))
@@ -53,7 +53,7 @@ def numbers(spark: SparkSession, root: str) -> list[int]:
 
 
 def read(spark: SparkSession, root: str, number: int) -> Version:
-    system, place = _files(spark, f"{_log(root)}/{number:020d}.json")
+    system, place = files_of(spark, f"{_log(root)}/{number:020d}.json")
     stream = system.open(place)
     try:
         text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -73,13 +73,13 @@ def publish(spark: SparkSession, root: str, run_id: str, tables: dict[str, str],
     ``whole`` leaves the others out. Of two runs that publish at once the second to rename
     finds its number taken and goes on from the other's version.
     """
-    system, log = _files(spark, _log(root))
+    system, log = files_of(spark, _log(root))
     system.mkdirs(log)
     for _ in range(ATTEMPTS):
         before = current(spark, root) or Version(0, "")
         version = Version(before.number + 1, run_id, tables if whole else before.tables | tables)
-        _, part = _files(spark, f"{_log(root)}/{uuid.uuid4().hex}.part")
-        _, final = _files(spark, f"{_log(root)}/{version.number:020d}.json")
+        _, part = files_of(spark, f"{_log(root)}/{uuid.uuid4().hex}.part")
+        _, final = files_of(spark, f"{_log(root)}/{version.number:020d}.json")
         out = system.create(part, False)
         out.write(bytearray(json.dumps(version.__dict__).encode()))
         out.close()
@@ -146,9 +146,9 @@ def expire(spark: SparkSession, root: str, database: str, keep: int = 2) -> list
     gone = sorted({(name, p) for v in old for name, p in v.tables.items() if p not in held})
     for name, path in gone:
         spark.sql(f"drop table if exists {run_table(database, name, path)}")
-        system, place = _files(spark, path)
+        system, place = files_of(spark, path)
         system.delete(place, True)
     for version in old:
-        system, place = _files(spark, f"{_log(root)}/{version.number:020d}.json")
+        system, place = files_of(spark, f"{_log(root)}/{version.number:020d}.json")
         system.delete(place, False)
     return [path for _, path in gone]

@@ -77,37 +77,54 @@ def _read_lines(spark: SparkSession, layout: str, paths: list[str], encoding: st
     )
 
 
-def _read_broken(spark: SparkSession, layout: str, paths: list[str], encoding: str) -> DataFrame:
-    """Files with line breaks inside quoted values, read by block like any other.
+def _placed_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Every line with its block and place, ``_starts`` (1 if a record begins with it) and ``_record``, its number in the block.
 
-    Spark's own multi-line reader gives a file to one task. Here each block's
-    lines are read apart, and the number of odd lines before a block tells
-    whether it begins inside a quoted value. A line that is a record by itself
-    passes through; only the lines of a broken record are brought together.
+    Each block's lines are read apart, and the number of odd lines before a block tells
+    whether it begins inside a quoted value.
     """
     line, block = [SOURCE, "_block"], Window.partitionBy(SOURCE, "_block").orderBy("_pos")
     before = block.rowsBetween(Window.unboundedPreceding, -1)
-    earlier_blocks = Window.partitionBy(SOURCE).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     lines = spark.read.text([literal(p) for p in paths], lineSep="\n").select(
         F.col("_metadata.file_path").alias(SOURCE), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_pos"), "value", _odd_quotes("value").alias("_odd"),
     )
     opening = (
         lines.groupBy(*line).agg(F.sum("_odd").alias("_flips"))
-        .select(*line, (F.coalesce(F.sum("_flips").over(earlier_blocks), F.lit(0)) % 2).alias("_open"))
+        .select(*line, (F.coalesce(F.sum("_flips").over(_earlier_blocks()), F.lit(0)) % 2).alias("_open"))
     )
     inside = (F.col("_open") + F.coalesce(F.sum("_odd").over(before), F.lit(0))) % 2
-    placed = (
+    return (
         lines.join(opening, line)
         .withColumn("_starts", F.when(inside == 0, 1).otherwise(0))
         .withColumn("_record", F.sum("_starts").over(block))
     )
+
+
+def _earlier_blocks():
+    return Window.partitionBy(SOURCE).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def count_records(spark: SparkSession, paths: list[str], multiline: bool) -> int:
+    """Records of files by their lines and quotes alone, without parsing a field; blank lines are none."""
+    if multiline:
+        return _placed_lines(spark, paths).where("_starts = 1 and value <> ''").count()
+    return spark.read.text([literal(p) for p in paths]).where(F.trim("value") != "").count()
+
+
+def _read_broken(spark: SparkSession, layout: str, paths: list[str], encoding: str) -> DataFrame:
+    """Files with line breaks inside quoted values, read by block like any other.
+
+    Spark's own multi-line reader gives a file to one task. Here a line that is a record by itself
+    passes through; only the lines of a broken record are brought together.
+    """
+    line, placed = [SOURCE, "_block"], _placed_lines(spark, paths)
     alone = (F.col("_starts") == 1) & (F.col("_odd") == 0)
     # a block that begins inside a record continues the last one begun before it
     last = F.when(F.col("_record") > 0, F.struct("_block", "_record"))
     owners = (
         placed.groupBy(*line).agg(F.max("_record").alias("_record"))
-        .select(*line, F.last(last, ignorenulls=True).over(earlier_blocks).alias("_owner"))
+        .select(*line, F.last(last, ignorenulls=True).over(_earlier_blocks()).alias("_owner"))
     )
     begun = F.when(F.col("_record") > 0, F.struct("_block", "_record")).otherwise(F.col("_owner"))
     parts = F.sort_array(F.collect_list(F.struct("_block", "_pos", "value")))
