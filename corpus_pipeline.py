@@ -1,4 +1,7 @@
-"""From raw documents to packed sequences, in stages that each read what the one before kept."""
+"""From raw documents to packed sequences, in stages that each read what the one before kept.
+
+What a stage gets lies in files, so it may read them again and stores no copy of the texts.
+"""
 
 from __future__ import annotations
 
@@ -17,17 +20,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the largest id, of each group of equal texts."""
-    return dedup_tree.deduplicated(docs, keep="max")
+    return dedup_tree.deduplicated(docs, keep="max", reread=True)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each component of near duplicates."""
-    return near_paths.deduplicated(docs)
+    return near_paths.deduplicated(docs, reread=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, as often and as much as it takes them."""
-    return mixing.mixed_documents(docs)
+    return mixing.mixed_documents(docs, reread=True)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

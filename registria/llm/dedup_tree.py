@@ -83,13 +83,14 @@ def exact_dedup(docs: DataFrame, keep: str = "max", levels: int | None = None, b
     )
 
 
-def deduplicated(docs: DataFrame, keep: str = "max") -> DataFrame:
+def deduplicated(docs: DataFrame, keep: str = "max", reread: bool = False) -> DataFrame:
     """``docs`` with one row of each group of equal texts, that of the largest (smallest) id; columns as they are.
 
     Null texts equal empty ones. Of rows that repeat id and text one stays, a row without an id only if
     its group has none with one. An empty table stays empty.
+    If ``docs`` may be read again (``reread``) and its ids tell its rows apart, they are not stored first.
     """
-    return one_of_each(docs, lambda rows: exact_dedup(rows, keep), "keep_id", largest=keep == "max")
+    return one_of_each(docs, lambda rows: exact_dedup(rows, keep), "keep_id", largest=keep == "max", reread=reread)
 
 
 ORACLE = """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import hex_bucket, numbered, running, shuffle_key, source_key, stored
+from .common import hex_bucket, running, settled, shuffle_key, source_key, stored, told_apart
 
 WORD = r"[^\x20\x09-\x0D]+"
 CYCLE = (5, 2, 1)
@@ -149,7 +149,7 @@ def mix_digest(docs: DataFrame, block: int = 1024, seed: str = "mix", total_shar
     )
 
 
-def mixed_documents(docs: DataFrame, block: int = 1024, seed: str = "mix", total_share: float = 1.5, most: int = 2) -> DataFrame:
+def mixed_documents(docs: DataFrame, block: int = 1024, seed: str = "mix", total_share: float = 1.5, most: int = 2, reread: bool = False) -> DataFrame:
     """The mix as documents, in the order of the schedule: a row for each pass that takes words of one; columns as they are.
 
     Rows are sorted over all partitions by the slot in which they begin, so any stretch is near the weights.
@@ -157,17 +157,20 @@ def mixed_documents(docs: DataFrame, block: int = 1024, seed: str = "mix", total
     words. The one at the end of a source's target is
     cut after the words taken (and ``n_chars``, if there is one, is counted again). Null sources are one
     source; rows that repeat are documents of their own; an empty table stays empty.
+
+    If ``docs`` may be read again (``reread``) and its ids tell its rows apart, no text is stored on the way.
     """
-    rows, row = numbered(docs)
+    rows, row, at = told_apart(docs, reread)
     words, size, slot = f"{row}_words", f"{row}_size", f"{row}_slot"
-    taken = (
-        _pieces(rows, block, seed, total_share, most, row).where("slot is not null")
+    taken = settled(
+        lambda: _pieces(rows, block, seed, total_share, most, row).where("slot is not null")
         .groupBy(F.col("row").alias(row), "pass").agg(F.sum("length").alias(words), F.max("size").alias(size), F.min("slot").alias(slot))
-        .drop("pass")
+        .drop("pass"),
+        "mix-taken",
     )
     cut = F.expr(rf"array_join(slice(split(text, '(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])'), 1, cast(`{words}` as int)), '')")
     partial = F.col(words) < F.col(size)
-    out = rows.join(taken, row).orderBy(slot, row).withColumn("text", F.when(partial, cut).otherwise(F.col("text")))
+    out = rows.join(taken, row).orderBy(slot, at).withColumn("text", F.when(partial, cut).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(partial, F.length("text").cast(kind)).otherwise(F.col("n_chars")))

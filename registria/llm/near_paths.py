@@ -393,13 +393,14 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, reread: bool = False) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest id; columns as they are.
 
     Null texts and texts without words are linked with nothing and stay. Of rows that repeat id and text one
     stays, a row without an id only if its component has none with one. An empty table stays empty.
+    If ``docs`` may be read again (``reread``) and its ids tell its rows apart, they are not stored first.
     """
-    return one_of_each(docs, near_dedup, "component_id")
+    return one_of_each(docs, near_dedup, "component_id", reread=reread)
 
 
 ORACLE = r"""
