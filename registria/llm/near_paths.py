@@ -7,11 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import dropped, one_of_each, stored
 from .components import LEAST_TASKS, components
-from .toxicity import sliced
+from .tokens import slices
+from .toxicity import HELD_BYTES, sliced
 
 WORDS = 5  # of a shingle
 COORDINATES = 64  # minwise tokens kept of a set
@@ -91,19 +93,20 @@ def _texts(frame: pd.DataFrame) -> list[str]:
     return [t if isinstance(t, str) else "" for t in frame["text"]]
 
 
-def _sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        texts = _texts(frame)
-        for a, b in sliced(texts):
-            sets = shingle_sets(texts[a:b])
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first, texts in slices(batch.column(1), HELD_BYTES):
+            sets = shingle_sets(["" if t is None else t for t in texts])
             full = [s for s in sets if len(s)]
             tokens = iter(min_tokens(full) if full else ())
-            yield pd.DataFrame({
-                "doc_id": frame["doc_id"].to_numpy()[a:b],
-                "n": [len(s) for s in sets],
-                "set_id": [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets],
-                "tokens": [next(tokens).tobytes() if len(s) else None for s in sets],
-            }).astype({"doc_id": "Int64"})
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).slice(first, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
+                    pa.array([next(tokens).tobytes() if len(s) else None for s in sets], pa.binary()),
+                ],
+                ["doc_id", "n", "set_id", "tokens"],
+            )
 
 
 def _hashed(values: np.ndarray, *parts: int) -> np.ndarray:
@@ -281,7 +284,7 @@ def candidate_links(sets: DataFrame) -> DataFrame:
 def _shingles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         texts = _texts(frame)
-        for a, b in sliced(texts):
+        for a, b in sliced(texts, HELD_BYTES):
             sets = [s.tobytes() for s in shingle_sets(texts[a:b])]
             yield pd.DataFrame({
                 "set_id": [hashlib.md5(s).digest() for s in sets], "shingles": sets,
@@ -371,7 +374,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     doc_id and text are read.
     """
     lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = stored(lean.mapInPandas(_sketch, "doc_id long, n long, set_id binary, tokens binary"), "sketches")
+    rows = stored(lean.mapInArrow(_sketch, "doc_id long, n long, set_id binary, tokens binary"), "sketches")
     sets = stored(
         rows.where("set_id is not null and doc_id is not null").groupBy("set_id")
         .agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.first("tokens").alias("tokens")),

@@ -16,6 +16,7 @@ ORDERS = (3, 4, 5)
 BITS = 18  # n-grams are hashed to 2**18 features
 BLOCK = 4096
 SLICE_CHARS = 1 << 20
+HELD_BYTES = 1 << 18  # of texts that a task takes apart at once; their n-grams take many times that
 
 
 def held_out(doc_id: Column) -> Column:
@@ -55,35 +56,41 @@ def ngrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def present(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(text number, feature) of the features present in each text, of the ``wanted`` ones if given."""
-    keys = []
+    kind = np.uint32 if len(texts) <= 1 << (32 - BITS) else np.int64  # short keys are sorted faster
+    keys = [np.zeros(0, dtype=kind)]
     for owner, feature in ngrams(texts):
         if wanted is not None:
             hit = wanted[feature]
             owner, feature = owner[hit], feature[hit]
-        keys.append((owner.astype(np.int64) << BITS) | feature)
-    both = np.unique(np.concatenate(keys)) if keys else np.zeros(0, dtype=np.int64)
-    return both >> BITS, both & ((1 << BITS) - 1)
+        keys.append((owner.astype(kind) << kind(BITS)) | feature.astype(kind))
+    both = np.concatenate(keys)
+    both.sort()
+    both = both[np.append(True, both[1:] != both[:-1])] if len(both) else both
+    return both >> kind(BITS), both & kind((1 << BITS) - 1)
 
 
-def _texts(frame: pd.DataFrame) -> list[str]:
-    return [t if isinstance(t, str) else "" for t in frame["text"]]
+def _read(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of a column, a slice at a time; null texts are empty."""
+    for first, texts in slices(column, HELD_BYTES):
+        yield first, ["" if t is None else t for t in texts]
 
 
-def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each label: texts that hold a feature, in blocks of features."""
     counts = np.zeros((2, 1 << BITS), dtype=np.int64)
-    for frame in frames:
-        texts, labels = _texts(frame), frame["toxic"].to_numpy()
-        for a, b in sliced(texts):
-            owner, feature = present(texts[a:b])
-            for label in (0, 1):
-                counts[label] += np.bincount(feature[labels[a:b][owner] == label], minlength=1 << BITS)
+    for batch in batches:
+        labels = batch.column(0).to_numpy()
+        for first, texts in _read(batch.column(1)):
+            owner, feature = present(texts)
+            toxic = labels[first:first + len(texts)][owner] == 1
+            counts[1] += np.bincount(feature[toxic], minlength=1 << BITS)
+            counts[0] += np.bincount(feature[~toxic], minlength=1 << BITS)
     if counts.any():
-        yield pd.DataFrame({
-            "block": range(0, 1 << BITS, BLOCK),
-            "clean": [counts[0, i:i + BLOCK].tobytes() for i in range(0, 1 << BITS, BLOCK)],
-            "toxic": [counts[1, i:i + BLOCK].tobytes() for i in range(0, 1 << BITS, BLOCK)],
-        })
+        blocks = range(0, 1 << BITS, BLOCK)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(blocks, pa.int32()), *(pa.array([c[i:i + BLOCK].tobytes() for i in blocks], pa.binary()) for c in counts)],
+            ["block", "clean", "toxic"],
+        )
 
 
 def _add(frame: pd.DataFrame) -> pd.DataFrame:
@@ -141,10 +148,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20000, least_count:
     sample = (
         docs.select("doc_id", F.col("text").cast("string").alias("text"))
         .join(F.broadcast(picked), "doc_id")
-        .groupBy("doc_id", "toxic").agg(F.max("text").alias("text")).select("toxic", "text")
+        .groupBy("doc_id", "toxic").agg(F.max("text").alias("text")).select(F.col("toxic").cast("int").alias("toxic"), "text")
     )
     blocks = (
-        sample.mapInPandas(_count, "block int, clean binary, toxic binary")
+        sample.mapInArrow(_count, "block int, clean binary, toxic binary")
         .groupBy("block").applyInPandas(_add, "block int, clean binary, toxic binary").collect()  # 64 rows
     )
     counts = np.zeros((2, 1 << BITS))
@@ -163,16 +170,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20000, least_count:
     place[chosen] = np.arange(len(chosen))
     scaled = ratio[chosen]
 
-    def chosen_features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = _texts(frame)
-            for a, b in sliced(texts):
-                owner, feature = present(texts[a:b], wanted)
-                ends = np.searchsorted(owner, np.arange(b - a + 1))
-                yield pd.DataFrame({
-                    "toxic": frame["toxic"].to_numpy()[a:b],
-                    "features": [place[feature[x:y]].tobytes() for x, y in zip(ends, ends[1:])],
-                })
+    def chosen_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, texts in _read(batch.column(1)):
+                owner, feature = present(texts, wanted)
+                ends = np.searchsorted(owner, np.arange(len(texts) + 1))
+                found = pa.array([place[feature[x:y]].tobytes() for x, y in zip(ends, ends[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), found], ["toxic", "features"])
 
     def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [(y, np.frombuffer(f, dtype=np.int32)) for frame in frames for y, f in zip(frame["toxic"], frame["features"])]
@@ -185,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20000, least_count:
             yield pd.DataFrame({"weights": [weights.tobytes()], "bias": [bias]})
 
     learned = (
-        sample.mapInPandas(chosen_features, "toxic int, features binary").coalesce(1)
+        sample.mapInArrow(chosen_features, "toxic int, features binary").coalesce(1)
         .mapInPandas(learn, "weights binary, bias double").collect()
     )
     margin = np.zeros(1 << BITS)
@@ -193,19 +197,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20000, least_count:
     return Model(margin, learned[0]["bias"])
 
 
-def _column_scores(model: Model, column: pa.Array) -> np.ndarray:
-    parts = [model.scores(["" if t is None else t for t in texts]) for _, texts in slices(column)]
-    return np.concatenate(parts) if parts else np.zeros(0)
-
-
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and ``score`` (0 to 1): the probability of label 1. Null texts score as empty ones."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(_column_scores(model, batch.column(1)), pa.float64())], ["doc_id", "score"]
-            )
+            for first, texts in _read(batch.column(1)):
+                ids = batch.column(0).slice(first, len(texts))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(model.scores(texts), pa.float64())], ["doc_id", "score"])
 
     lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return lean.mapInArrow(score, "doc_id long, score double")
@@ -217,7 +216,8 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, ma
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_column_scores(model, batch.column(at)) < threshold))
+            for first, texts in _read(batch.column(at)):
+                yield batch.slice(first, len(texts)).filter(pa.array(model.scores(texts) < threshold))
 
     return docs.mapInArrow(keep, docs.schema)
 

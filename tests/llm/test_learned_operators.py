@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,6 +38,35 @@ def test_toxicity_awkward_rows(spark):
     assert {r["predicted"] for r in rows_of(toxicity.toxicity_digest(odd_docs(spark), labels.limit(0)))} == {0}
 
 
+def test_toxicity_takes_few_texts_apart_at_once():
+    """Eight MB in one batch: counting and scoring need a small multiple of a slice, not of the batch."""
+    draw = random.Random(5)
+    texts = ["".join(draw.choices("abcdefgh ", k=2000)) for _ in range(4000)] + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array([i % 2 for i in range(len(texts))], pa.int32()), pa.array(texts)], ["toxic", "text"])
+    model = toxicity.Model(np.linspace(-1, 1, 1 << toxicity.BITS), 0.1)
+    tracemalloc.start()
+    try:
+        counted = pa.Table.from_batches(toxicity._count(iter([batch])))
+        got = [model.scores(part) for _, part in toxicity._read(batch.column(1))]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 48 << 20
+    assert np.array_equal(np.concatenate(got)[::500], [model.scores([t or ""])[0] for t in texts[::500]])
+    total = [sum(int(np.frombuffer(b, np.int64).sum()) for b in counted[c].to_pylist()) for c in ("clean", "toxic")]
+    assert total == [sum(len(toxicity.present([t or ""])[1]) for t in texts[k::2]) for k in (0, 1)]
+
+
+@pytest.mark.parametrize("n", [5, (1 << 14) + 3])
+def test_features_present_are_told_once_a_text(n):
+    """With short keys for few texts and long ones for many."""
+    texts = [f"abc abc {i % 7}" for i in range(n)]
+    owner, feature = toxicity.present(texts)
+    one = [toxicity.present([t])[1].tolist() for t in texts[:7]]
+    assert np.array_equal(np.bincount(owner, minlength=n), [len(one[i % 7]) for i in range(n)])
+    assert feature[owner == n - 1].tolist() == one[(n - 1) % 7] == sorted(set(one[(n - 1) % 7]))
+
+
 def test_language_held_out(spark):
     docs = queries.table(spark, SF, "documents")
     rows = rows_of(queries.op9_word_crf(spark, SF).where("held_out").join(docs.select("doc_id", "lang"), "doc_id"))
