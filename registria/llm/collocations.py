@@ -44,11 +44,18 @@ def _scanned(found: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], Words
             yield [r[0] for r in rows], scan([r[1] for r in rows], BLANKS, ENDS)
 
 
-def _prints(langs: list[str], words: Words, n: int) -> np.ndarray:
-    """A fingerprint of language and ``n`` words from every word on; as a phrase of one word has no ends, all count."""
-    own = np.array([_lang_print(x) for x in langs], np.uint64)
-    grams = words.grams(n)
-    return mixed(grams ^ own[words.text[: len(grams)]]) if len(grams) else grams
+class Prints:
+    """Fingerprints of language and ``n`` words from every word on, found once; as a phrase of one word has no ends, all count."""
+
+    def __init__(self, langs: list[str], words: Words) -> None:
+        own = np.array([_lang_print(x) for x in langs], np.uint64)
+        self.words, self.own, self.known = words, own[words.text], {}
+
+    def of(self, n: int) -> np.ndarray:
+        if n not in self.known:
+            grams = self.words.grams(n)
+            self.known[n] = mixed(grams ^ self.own[: len(grams)])
+        return self.known[n]
 
 
 class Filter:
@@ -75,35 +82,50 @@ def _filter(frequent: DataFrame) -> Broadcast:
     return frequent.sparkSession.sparkContext.broadcast(Filter(words))
 
 
-def _admitted(langs: list[str], words: Words, n: int, filters: dict[int, Filter]) -> np.ndarray:
-    """Where a phrase of ``n`` words begins all whose parts of the filters' lengths may be frequent."""
-    ok = words.whole(n, words.piece)
-    for k, held in filters.items():
+def _admitted(prints: Prints, n: int, parts: dict[int, np.ndarray]) -> np.ndarray:
+    """Where a phrase of ``n`` words begins all whose ``parts`` of the filters' lengths may be frequent."""
+    ok = prints.words.whole(n, prints.words.piece)
+    for k, part in parts.items():
         if k <= n and len(ok):
-            part = held.has(_prints(langs, words, k))
             for i in range(n - k + 1):
                 ok = ok & part[i : i + len(ok)]
     return ok
 
 
+def _passed(prints: Prints, filters: dict[int, Filter]) -> dict[int, np.ndarray]:
+    """For each filter's length, from which words on the phrase of that length may be frequent."""
+    return {k: held.has(prints.of(k)) for k, held in filters.items()}
+
+
 def _counts(texts: DataFrame, lengths: tuple[int, ...], filters: dict[int, Broadcast]) -> DataFrame:
     """(print, length, n): occurrences of the fingerprints of phrases; each task adds up its own before the shuffle."""
 
     def count(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {k: b.value for k, b in filters.items()}
         for langs, words in _scanned(found):
+            here = Prints(langs, words)
+            parts = _passed(here, held)
             for n in lengths:
-                prints, times = np.unique(_prints(langs, words, n)[_admitted(langs, words, n, held)], return_counts=True)
+                prints, times = np.unique(here.of(n)[_admitted(here, n, parts)], return_counts=True)
                 if len(prints):
                     yield pa.record_batch([pa.array(prints.view(np.int64)), pa.array(np.full(len(prints), n, np.int32)), pa.array(times.astype(np.int64))], names=["print", "length", "n"])
 
     return texts.mapInArrow(count, "print long, length int, n long").groupBy("print", "length").agg(F.sum("n").alias("n"))
 
 
+def _grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(an order that brings equal values together, where in it each of them begins)."""
+    order = np.argsort(values)
+    near = values[order]
+    return order, np.flatnonzero(np.append(True, near[1:] != near[:-1])[: len(near)])
+
+
 def _word_ids(words: Words) -> np.ndarray:
     """The same number for words of the same bytes: by fingerprint, after comparing the bytes."""
-    _, first, ids = np.unique(words.print, return_index=True, return_inverse=True)
-    twin = first[ids]
+    order, first = _grouped(words.print)
+    ids = np.empty(len(order), np.int64)
+    ids[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+    twin = order[first][ids]
     size, twin_size = words.end - words.start, (words.end - words.start)[twin]
     codes = np.frombuffer(words.data, np.uint8)
     if (same := bool((size == twin_size).all())) and len(ids):
@@ -117,8 +139,10 @@ def _word_ids(words: Words) -> np.ndarray:
 
 def _distinct(at: np.ndarray, n: int, prints: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(pointer to an occurrence, occurrences) of the phrases that begin ``at``: equal prints whose words were compared."""
-    _, first, which, times = np.unique(prints[at], return_index=True, return_inverse=True, return_counts=True)
-    twin = at[first][which]
+    order, first = _grouped(prints[at])
+    times = np.diff(np.append(first, len(order)))
+    at = at[order]
+    twin = np.repeat(at[first], times)
     differ = np.zeros(len(at), bool)
     for i in range(n):
         differ |= ids[at + i] != ids[twin + i]
@@ -129,6 +153,29 @@ def _distinct(at: np.ndarray, n: int, prints: np.ndarray, ids: np.ndarray) -> tu
     return at[first], times
 
 
+class Joined:
+    """The words of some texts with one blank after each, so that every phrase is a stretch of bytes."""
+
+    def __init__(self, words: Words) -> None:
+        size = words.end - words.start
+        self.start = np.cumsum(size + 1) - size - 1
+        self.end = self.start + size
+        turns = np.zeros(len(words.data) + 1, np.int8)
+        turns[words.start] += 1
+        turns[words.end + 1] -= 1  # every word is followed by a byte, which becomes its blank
+        self.codes = np.frombuffer(words.data, np.uint8)[np.cumsum(turns[:-1], dtype=np.int8) > 0]
+        self.codes[self.end] = 32
+
+    def phrases(self, at: np.ndarray, n: int) -> pa.Array:
+        """The ``n`` words from each of ``at`` on."""
+        size = self.end[at + n - 1] - self.start[at]
+        ends = np.cumsum(size)
+        codes = self.codes[np.arange(int(size.sum())) + np.repeat(self.start[at] - (ends - size), size)]
+        offsets = np.append(0, ends).astype(np.int64)
+        whole = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(codes)])
+        return whole.cast(pa.binary())
+
+
 def phrase_counts(docs: DataFrame, at_least: int = 30, longest: int = LONGEST) -> DataFrame:
     """(lang, length, phrase, n): exact counts of all phrases of one to ``longest`` words with ``n >= at_least``.
 
@@ -160,15 +207,18 @@ def phrase_counts(docs: DataFrame, at_least: int = 30, longest: int = LONGEST) -
             ids = _word_ids(words)
             names, lang_of = np.unique(np.array(langs, object), return_inverse=True)
             owner = lang_of[words.text]
-            rows = [(names[i], 0, b"", int(c)) for i, c in enumerate(np.bincount(owner, minlength=len(names))) if c]
-            for n in range(1, longest + 1):
-                at = np.flatnonzero(_admitted(langs, words, n, held))
-                if len(at):
-                    first, times = _distinct(at, n, _prints(langs, words, n), ids)
-                    rows += [(names[owner[i]], n, b" ".join([words.word(i + j) for j in range(n)]), int(c)) for i, c in zip(first.tolist(), times)]
-            if rows:
-                lang, length, phrase, times = zip(*rows)
-                yield pa.record_batch([pa.array(lang, pa.string()), pa.array(length, pa.int32()), pa.array(phrase, pa.binary()), pa.array(times, pa.int64())], names=["lang", "length", "phrase", "n"])
+            here, joined = Prints(langs, words), Joined(words)
+            parts, named = _passed(here, held), pa.array(names.tolist(), pa.string())
+            all_words = np.bincount(owner, minlength=len(names))
+            for n in range(longest + 1):
+                if n:
+                    first, times = _distinct(np.flatnonzero(_admitted(here, n, parts)), n, here.of(n), ids)
+                    own, phrase = owner[first], joined.phrases(first, n)
+                else:
+                    own = np.flatnonzero(all_words)
+                    times, phrase = all_words[own], pa.array([b""] * len(own), pa.binary())
+                if len(own):
+                    yield pa.record_batch([named.take(pa.array(own)), pa.array(np.full(len(own), n, np.int32)), phrase, pa.array(times.astype(np.int64))], names=["lang", "length", "phrase", "n"])
 
     located = texts.mapInArrow(locate, "lang string, length int, phrase binary, n long")
     counted = located.groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n"))

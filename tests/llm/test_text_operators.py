@@ -120,6 +120,27 @@ def test_colliding_fingerprints_change_no_count(spark, monkeypatch):
     assert Counter({(spelt[i], spelt[i + 1]): int(c) for i, c in zip(first, times)}) == Counter((spelt[i], spelt[i + 1]) for i in at)
 
 
+@pytest.mark.parametrize("n", [1, 2, 4])
+def test_phrases_are_cut_from_joined_words(n):
+    """All phrases at once, as if every one was spelt from its words."""
+    texts = [b"in the\t end  of it.; \xc3\xbcnd a", b"", b" \t", b"x y\x00 z\n", b"last words here so it ends"]
+    words = fingerprints.scan(texts, collocations.BLANKS, collocations.ENDS)
+    at = np.flatnonzero(words.whole(n, words.piece))[::-1]
+    got = collocations.Joined(words).phrases(at, n).to_pylist()
+    assert got == [b" ".join(words.word(i + j) for j in range(n)) for i in at] and len(got) >= 4
+    assert collocations.Joined(fingerprints.scan([b" "], collocations.BLANKS, collocations.ENDS)).phrases(at[:0], n).to_pylist() == []
+
+
+def test_fingerprints_of_a_length_are_found_once(monkeypatch):
+    words = fingerprints.scan([b"a b c d a b c d"], collocations.BLANKS, collocations.ENDS)
+    asked, grams = Counter(), fingerprints.Words.grams
+    monkeypatch.setattr(fingerprints.Words, "grams", lambda self, n: asked.update([n]) or grams(self, n))
+    here = collocations.Prints(["en"], words)
+    parts = collocations._passed(here, {k: collocations.Filter(np.full(1, 2**64 - 1, np.uint64)) for k in range(1, 5)})
+    assert [int(collocations._admitted(here, n, parts).sum()) for n in range(1, 5)] == [8, 7, 6, 5]
+    assert asked == {n: 1 for n in range(1, 5)}
+
+
 # Repeated passages
 
 def plain_repeats(rows, window):
