@@ -8,11 +8,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import source_key, stored
-from .tokens import Encoder, slices
+from .tokens import Encoder, stretches
 
 QUEUES = 4096
 FRACTION = 16  # bits of a quantum below one token
@@ -28,20 +29,18 @@ def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         encoder, end = Encoder(path), np.array([end_id], dtype="<u2").tobytes()
         part, filled = TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
-            for first, texts in slices(batch.column(1)):
-                sources = batch.column(2).slice(first, len(texts)).to_pylist()
-                ids, at, n = [], [], []
-                for text, source in zip(texts, sources):
-                    packed = b"".join(encoder.pieces(text)) + end if text else end
-                    ids.append(packed)
+            for first, texts in stretches(batch.column(1)):
+                sources = batch.column(2).slice(first, len(texts))
+                ids, at = encoder.packed(texts, end), []
+                n = pc.binary_length(ids).to_numpy() // 2
+                for source, size in zip(sources.to_pylist(), n.tolist()):
                     at.append(filled[source])
-                    n.append(len(packed) // 2)
-                    filled[source] += n[-1]
+                    filled[source] += size
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([part] * len(texts), pa.int32()), pa.array(sources, pa.string()),
+                        pa.array([part] * len(texts), pa.int32()), sources.cast(pa.string()),
                         batch.column(0).slice(first, len(texts)),
-                        pa.array(at, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary()),
+                        pa.array(at, pa.int64()), pa.array(n, pa.int64()), ids,
                     ],
                     ["part", "source_key", "doc_id", "at", "n", "ids"],
                 )

@@ -10,13 +10,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 import tiktoken
 from tokenizers import Tokenizer
 
 # Python's \s holds all Unicode white space (and four control characters more).
 RAGGED = re.compile(r" \s|\s ")
 GAP = re.compile(r"(?<=\S) (?=\S)")
+# The same for Arrow, whose \s is ASCII only.
+WHITE = "".join(c for c in map(chr, range(0x10000)) if c.isspace())
+RAGGED_ARROW = f" [{WHITE}]|[{WHITE}] "
+EDGED_ARROW = rf"\A[{WHITE}]|[{WHITE}]\z|\A\z"
+JOINED_UNITS = 1 << 16
 MEMO_ENTRIES = 300_000
 MEMO_CHARS = 48
 SLICE_BYTES = 4 << 20
@@ -39,6 +44,26 @@ def units(text: str) -> list[str]:
     return GAP.split(text) if RAGGED.search(text) else text.split(" ")
 
 
+def unit_lists(texts: pa.Array) -> pa.Array:
+    """``units`` of every text of a column without nulls, as lists."""
+    ragged = pc.match_substring_regex(texts, RAGGED_ARROW).to_numpy(zero_copy_only=False)
+    if not ragged.any():
+        return pc.split_pattern(texts, " ")
+    odd = pa.array([units(t) for t in texts.filter(pa.array(ragged)).to_pylist()], pa.list_(pa.string()))
+    return merged(pc.split_pattern(texts.filter(pa.array(~ragged)), " "), odd, ragged)
+
+
+def merged(plain: pa.Array, other: pa.Array, is_other: np.ndarray) -> pa.Array:
+    """Values of both in the order that ``is_other`` has them."""
+    order = np.argsort(np.argsort(is_other, kind="stable"))
+    return pa.concat_arrays([plain, other]).take(pa.array(order))
+
+
+def binaries(bounds: np.ndarray, data: pa.Buffer) -> pa.Array:
+    """``data`` cut at ``bounds`` as a binary column."""
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), data])
+
+
 # The pattern of byte-level pre-tokenizers.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -74,12 +99,23 @@ def ranked(path: str) -> tiktoken.Encoding | None:
     return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@functools.lru_cache(maxsize=4)
+def token_bytes(path: str) -> np.ndarray:
+    """Length in bytes of every token of ``ranked``, by id."""
+    encoding = ranked(path)
+    sizes = np.zeros(encoding.n_vocab, dtype=np.int64)
+    for token in encoding.token_byte_values():
+        sizes[encoding.encode_single_token(token)] = len(token)
+    return sizes
+
+
 class Encoder:
     """Ids of units by the tokenizer; what was encoded is remembered, up to a fixed number of units."""
 
     def __init__(self, path: str, width: str = "<u2"):
         self.tokenizer = load(path)
         self.ranked = ranked(path)
+        self.token_bytes = token_bytes(path) if self.ranked else None
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width, self.code = width, "H" if width == "<u2" else "I"
         self.memo: dict[str, bytes] = {}
@@ -101,6 +137,56 @@ class Encoder:
         self.memo.update((w, ids) for w, ids in got.items() if len(w) <= MEMO_CHARS)
         return first + [got.get(w) or self.memo[w] for w in rest]
 
+    def packed(self, texts: pa.Array, end: bytes) -> pa.Array:
+        """Packed ids of every text (null: none) of a column, and ``end``, as a binary column.
+
+        Each distinct unit of the column is encoded once, and Arrow puts the texts together.
+        """
+        lists = unit_lists(texts.cast(pa.string()).fill_null(""))
+        words, counts = lists.flatten(), pc.list_value_length(lists).to_numpy()
+        begins, rows = np.cumsum(counts) - counts, np.arange(len(lists))
+        spaced = np.ones(len(words), dtype=bool)
+        spaced[begins] = False
+        rest = words.filter(pa.array(spaced)).dictionary_encode()
+        known = self._encode_spaced(rest.dictionary)
+        first = pa.array(self._encode(words.take(pa.array(begins)).to_pylist()), pa.binary())
+        pieces = pa.concat_arrays([known, first, pa.array([end], pa.binary())])
+        begins = begins + rows  # with an end after every text
+        ends = begins + counts
+        index, inner = np.empty(len(words) + len(rows), dtype=np.int64), np.ones(len(words) + len(rows), dtype=bool)
+        inner[begins] = inner[ends] = False
+        index[begins], index[ends], index[inner] = len(known) + rows, len(pieces) - 1, rest.indices.to_numpy()
+        flat = pieces.take(pa.array(index))
+        stops = np.cumsum(pc.binary_length(flat).to_numpy(), dtype=np.int64)
+        return binaries(np.append(0, stops[ends]), flat.buffers()[2])
+
+    def _encode_spaced(self, words: pa.Array) -> pa.Array:
+        """Packed ids of units that have lost the space before them.
+
+        Units that neither begin nor end with white space do not interact when joined by their
+        spaces: many are encoded in one call, and the lengths of the tokens tell them apart.
+        """
+        found = [pa.array([], pa.binary())]
+        for begin in range(0, len(words), JOINED_UNITS):
+            bare = words.slice(begin, JOINED_UNITS)
+            texts = pc.binary_join_element_wise("", bare, " ")
+            if self.ranked is None:
+                found.append(pa.array(self._encode(texts.to_pylist()), pa.binary()))
+                continue
+            alone = pc.match_substring_regex(bare, EDGED_ARROW)
+            for added in self.added:
+                alone = pc.or_(alone, pc.match_substring(texts, added))
+            alone = alone.to_numpy(zero_copy_only=False)
+            joined = texts.filter(pa.array(~alone))
+            whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(joined)], pa.int32()), joined), "")[0].as_py()
+            ids = np.array(self.ranked.encode_ordinary(whole), dtype=self.width)
+            ends = np.cumsum(pc.binary_length(joined).to_numpy(), dtype=np.int64)
+            stops = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends) + 1
+            plain = binaries(np.append(0, stops) * ids.itemsize, pa.py_buffer(ids))
+            other = pa.array(self._encode(texts.filter(pa.array(alone)).to_pylist()), pa.binary())
+            found.append(merged(plain, other, alone) if len(other) else plain)
+        return pa.concat_arrays(found)
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         if self.ranked is None:
             done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -127,14 +213,20 @@ class Encoder:
         return starts, counts
 
 
-def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, list[str | None]]]:
-    """(first row, values) of a string column, a few MB at a time."""
+def stretches(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, rows) of a string column, a few MB at a time."""
     rows, begin, size = len(column), 0, 0
-    lengths = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist()
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
     for i in range(rows):
         if i > begin and size + lengths[i] > most:
-            yield begin, column.slice(begin, i - begin).to_pylist()
+            yield begin, column.slice(begin, i - begin)
             begin, size = i, 0
         size += lengths[i]
     if begin < rows:
-        yield begin, column.slice(begin).to_pylist()
+        yield begin, column.slice(begin)
+
+
+def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, list[str | None]]]:
+    """(first row, values) of a string column, a few MB at a time."""
+    for first, rows in stretches(column, most):
+        yield first, rows.to_pylist()

@@ -3,9 +3,12 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from unittest import mock
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -30,6 +33,37 @@ def test_units_never_interact(text):
     assert got == ids_of(text)
 
 
+TEXTS = st.none() | st.lists(st.sampled_from([*PARTS, " ", " ", " the", " "]), max_size=30).map("".join)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(TEXTS, min_size=1, max_size=8), st.integers(1, 9), st.booleans())
+def test_columns_are_packed_as_texts(texts, joined, by_ranks):
+    encoder = tokens.Encoder(PATH)
+    encoder.ranked = encoder.ranked if by_ranks else None
+    with mock.patch.object(tokens, "JOINED_UNITS", joined):
+        got = encoder.packed(pa.array(["cut off", *texts], pa.string()).slice(1), b"\1\0").to_pylist()
+    assert [np.frombuffer(g, dtype="<u2").tolist() for g in got] == [[*ids_of(t), 1] for t in texts]
+
+
+def test_rare_words_cost_no_call_each():
+    """A text of words that are not met again took a call of the library, and its Python, for each."""
+    encoder, calls = tokens.Encoder(PATH), []
+    encode = encoder.ranked.encode_ordinary
+    encoder.ranked = mock.Mock(encode_ordinary=lambda text: calls.append(text) or encode(text))
+    texts = [" ".join(f"w{i}q{k}" for k in range(300)) for i in range(20)]
+    got = encoder.packed(pa.array(texts), b"\1\0").to_pylist()
+    assert [np.frombuffer(g, dtype="<u2").tolist() for g in got] == [[*ids_of(t), 1] for t in texts]
+    assert len(calls) <= len(texts) + 1
+
+
+def test_white_space_is_the_same_for_arrow():
+    signs = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    want = [tokens.RAGGED.search(f"a {c}b") is not None for c in signs]
+    assert pc.match_substring_regex(pa.array([f"a {c}b" for c in signs]), tokens.RAGGED_ARROW).to_pylist() == want
+    assert pc.match_substring_regex(pa.array([f"{c}b" for c in signs]), tokens.EDGED_ARROW).to_pylist() == want
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from(PARTS), min_size=1, max_size=120).map("".join), st.integers(20, 90), st.integers(1, 30))
 def test_spliced_count(text, chunk, overlap):
